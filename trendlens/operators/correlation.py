@@ -17,35 +17,32 @@ RELATIONS = (
 )
 
 
-def _pearson(a: str, b: str) -> Column:
+def _pearson(a: str, b: str) -> str:
     """Pearson's r over the rows where both are known, NULL if one is constant.
 
     ``corr`` itself raises on a constant column, which dislikes are in crawled data.
+    The square of r does not, but is NULL for a constant ``b`` and 1 for a constant
+    ``a``; the covariance, 0 in both cases, tells that apart and gives the sign.
     """
-    spread = F.sqrt(F.regr_sxx(a, b)) * F.sqrt(F.regr_syy(a, b))
-    return F.try_divide(F.regr_sxy(a, b), spread)
+    cov, square = f"covar_pop({a}, {b})", f"regr_r2({a}, {b})"
+    return f"CASE WHEN {cov} <> 0 THEN signum({cov}) * sqrt({square}) WHEN {square} < 1 THEN 0D END"
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] = CORRELATED) -> DataFrame:
     """All pairs in long form (a, b, r), both ways round, from a single aggregate."""
-    pairs = list(combinations(cols, 2))
-    own = [
-        F.when(F.var_pop(c) > 0, F.lit(1.0)).alias(f"r{i}_{i}") for i, c in enumerate(cols)
-    ]
-    cross = [
-        _pearson(a, b).alias(f"r{cols.index(a)}_{cols.index(b)}") for a, b in pairs
-    ]
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).agg(*own, *cross)
-    cells = [
-        F.struct(
-            F.lit(a).alias("a"),
-            F.lit(b).alias("b"),
-            F.col(f"r{min(i, j)}_{max(i, j)}").alias("r"),
-        )
-        for i, a in enumerate(cols)
-        for j, b in enumerate(cols)
-    ]
-    return wide.select(F.inline(F.array(*cells)))
+    cell = {}
+    measures = []
+    for c in cols:
+        cell[c, c] = f"r{len(measures)}"
+        measures.append(f"CASE WHEN var_pop({c}) > 0 THEN 1.0D END AS {cell[c, c]}")
+    for a, b in combinations(cols, 2):
+        cell[a, b] = cell[b, a] = f"r{len(measures)}"
+        measures.append(f"{_pearson(a, b)} AS {cell[a, b]}")
+    wide = df.selectExpr(*[f"CAST({c} AS DOUBLE) AS {c}" for c in cols]).selectExpr(*measures)
+    rows = ", ".join(
+        f"struct('{a}' AS a, '{b}' AS b, {cell[a, b]} AS r)" for a in cols for b in cols
+    )
+    return wide.selectExpr(f"inline(array({rows}))")
 
 
 def pair_value(matrix: DataFrame, a: str, b: str) -> DataFrame:

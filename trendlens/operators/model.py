@@ -203,15 +203,22 @@ def growth_pipeline(
 def train(
     rows: DataFrame, keys: Sequence[str], ts: str = "publishedAt", **settings
 ) -> tuple[PipelineModel, DataFrame]:
-    """Fits on the first 80 % of :func:`training_rows`, and scores the rest."""
+    """Fits on the first 80 % of :func:`training_rows`, and scores the rest.
+
+    Finding the cut and growing trees read the rows many times, so the few numeric
+    columns are kept in memory or on disk meanwhile.
+    """
     ensure_checkpoint_dir(rows.sparkSession)
-    needed = rows.select(*FEATURES, LABEL, ts, *keys)
-    early, late = time_split(needed, ts, keys)
-    columns = [*FEATURES, LABEL]
-    fitted = growth_pipeline(**settings).fit(
-        drop_incomplete(early.select(*columns), columns)
-    )
-    return fitted, fitted.transform(drop_incomplete(late.select(*columns), columns))
+    needed = rows.select(*FEATURES, LABEL, ts, *keys).persist()
+    try:
+        early, late = time_split(needed, ts, keys)
+        columns = [*FEATURES, LABEL]
+        fitted = growth_pipeline(**settings).fit(
+            drop_incomplete(early.select(*columns), columns)
+        )
+        return fitted, fitted.transform(drop_incomplete(late.select(*columns), columns))
+    finally:
+        needed.unpersist()
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -66,9 +66,10 @@ def merge_history(
     not touch the rest of the history. ``partition`` must follow from the keys.
     """
     keys = list(keys)
-    months = new.select(partition).distinct()
+    # a handful of calendar months; as literals they prune partitions before the scan
+    months = [row[0] for row in new.select(partition).distinct().collect()]
     old = spark.read.parquet(path)
-    touched = old.join(F.broadcast(months), partition, "left_semi")
+    touched = old.filter(F.col(partition).isin(months))
     merged = upsert_keep_last(touched, new.select(*old.columns), keys, latest)
     (
         merged.write.mode("overwrite")
