@@ -76,7 +76,8 @@ def main() -> None:
         lambda: fitted.append(model.train(rows, frames.ROW_KEY, iterations=10)[0])
     )
     root = scratch_path(spark, "bench")
-    batch = messages.decode(sinks.as_messages(frames.raw_file_rows(spark, sf_dir)))
+    sinks.publish_files(frames.raw_file_rows(spark, sf_dir).repartition(8), f"{root}/in")
+    batch = messages.decode(spark.read.text(f"{root}/in"))
     seconds["st03_micro_batch"] = warm_median(
         lambda: scoring.process_batch(batch, 0, fitted[0], root)
     )

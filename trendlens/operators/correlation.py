@@ -1,7 +1,7 @@
 """Relations between pairs of metrics."""
 
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,32 +17,62 @@ RELATIONS = (
 )
 
 
-def _pearson(a: str, b: str) -> str:
-    """Pearson's r over the rows where both are known, NULL if one is constant.
+def _moments(df: DataFrame, cols: Sequence[str], pairs) -> DataFrame:
+    """Count, means, variances and covariances per pattern of NULLs.
 
-    ``corr`` itself raises on a constant column, which dislikes are in crawled data.
-    The square of r does not, but is NULL for a constant ``b`` and 1 for a constant
-    ``a``; the covariance, 0 in both cases, tells that apart and gives the sign.
+    Within a pattern a column is known in all rows or in none, so 8 variances and 28
+    covariances serve every pair; deleting NULLs pair by pair would need both
+    variances again for each. There are at most 2^8 patterns, usually two.
     """
-    cov, square = f"covar_pop({a}, {b})", f"regr_r2({a}, {b})"
-    return f"CASE WHEN {cov} <> 0 THEN signum({cov}) * sqrt({square}) WHEN {square} < 1 THEN 0D END"
+    pattern = " + ".join(f"int(isnull({c})) * {2**i}" for i, c in enumerate(cols))
+    numbers = [f"CAST({c} AS DOUBLE) AS {c}" for c in cols]
+    return (
+        df.selectExpr(*numbers, f"{pattern} AS pattern")
+        .groupBy("pattern")
+        .agg(
+            F.count("*").alias("n"),
+            *[F.expr(f"avg({c}) AS m_{c}") for c in cols],
+            *[F.expr(f"struct(min({c}) AS lo, max({c}) AS hi) AS range_{c}") for c in cols],
+            *[F.expr(f"var_pop({c}) AS {c}__{c}") for c in cols],
+            *[F.expr(f"covar_pop({a}, {b}) AS {a}__{b}") for a, b in pairs if a != b],
+        )
+    )
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] = CORRELATED) -> DataFrame:
-    """All pairs in long form (a, b, r), both ways round, from a single aggregate."""
-    cell = {}
-    measures = []
-    for c in cols:
-        cell[c, c] = f"r{len(measures)}"
-        measures.append(f"CASE WHEN var_pop({c}) > 0 THEN 1.0D END AS {cell[c, c]}")
-    for a, b in combinations(cols, 2):
-        cell[a, b] = cell[b, a] = f"r{len(measures)}"
-        measures.append(f"{_pearson(a, b)} AS {cell[a, b]}")
-    wide = df.selectExpr(*[f"CAST({c} AS DOUBLE) AS {c}" for c in cols]).selectExpr(*measures)
-    rows = ", ".join(
-        f"struct('{a}' AS a, '{b}' AS b, {cell[a, b]} AS r)" for a in cols for b in cols
+    """Pearson's r of all pairs in long form (a, b, r), both ways round.
+
+    Each pair uses the rows where both are known; r is NULL if either is constant
+    there. ``corr`` itself raises on a constant column, which dislikes are in crawled
+    data. The rows are aggregated once; the rest combines a few pattern rows, by the
+    rule for merging moments of disjoint sets.
+    """
+    pairs = list(combinations_with_replacement(cols, 2))
+    cells = ", ".join(
+        f"struct('{a}' AS a, '{b}' AS b, IF({a}__{b} IS NULL, NULL, struct(n, "
+        f"m_{a} AS x, m_{b} AS y, range_{a} AS rx, range_{b} AS ry, "
+        f"{a}__{a} AS vx, {b}__{b} AS vy, {a}__{b} AS c)) AS s)"
+        for a, b in pairs
+    )
+    per_pattern = (
+        _moments(df, cols, pairs)
+        .selectExpr(f"inline(array({cells}))")
+        .selectExpr("a", "b", "s.*")
+    )
+    known = per_pattern.selectExpr(
+        "*",
+        "try_divide(sum(n * x) OVER (PARTITION BY a, b), sum(n) OVER (PARTITION BY a, b)) AS mx",
+        "try_divide(sum(n * y) OVER (PARTITION BY a, b), sum(n) OVER (PARTITION BY a, b)) AS my",
+    )
+    r = """CASE WHEN min(rx.lo) < max(rx.hi) AND min(ry.lo) < max(ry.hi)
+      THEN try_divide(
+        sum(n * (c + (x - mx) * (y - my))),
+        sqrt(sum(n * (vx + (x - mx) * (x - mx)))) * sqrt(sum(n * (vy + (y - my) * (y - my)))))
+      END"""
+    half = known.groupBy("a", "b").agg(F.expr(r).alias("r"))
+    return half.selectExpr(
+        "inline(IF(a = b, array(struct(a, b, r)), array(struct(a, b, r), struct(b AS a, a AS b, r))))"
     )
-    return wide.selectExpr(f"inline(array({rows}))")
 
 
 def pair_value(matrix: DataFrame, a: str, b: str) -> DataFrame:

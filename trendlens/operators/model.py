@@ -99,9 +99,12 @@ def _publish_second(ts: str) -> Column:
     return F.coalesce(epoch_seconds(F.col(ts)), F.lit(BEFORE_ALL).cast("bigint"))
 
 
-def _bucket_of_rank(hist: DataFrame, rank: Column):
-    """The bucket of a histogram (b, n) that holds ``rank``, the rows before it, and
-    the target rank. The window runs over the histogram only."""
+def _bucket_of_rank(rows: DataFrame, bucket: Column, rank: Column):
+    """The bucket (b, n) that holds ``rank``, with the rows before it and the rank.
+
+    Buckets are counted first; the window runs over their counts only.
+    """
+    hist = rows.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"))
     running = F.sum("n").over(Window.orderBy("b"))
     ranked = hist.select("b", "n", (running - F.col("n")).alias("before")).withColumn(
         "total", F.sum("n").over(Window.partitionBy())
@@ -117,44 +120,32 @@ def find_cut(
 ) -> Cut | None:
     """Where the first ``fraction`` of the rows by publish time ends.
 
-    Runs a few counting jobs, each returning one row: days, then the seconds of the
-    day the boundary falls in, then digest prefixes within that second. A day, a
-    second or a video may hold any share of the rows; every step counts with map-side
-    aggregation, and only buckets of a few rows are ever sorted. ``keys`` must be
-    unique. None means that no row is before the cut.
+    Runs a few counting jobs, each returning one row: days, then if need be the
+    seconds of the day the boundary falls in, then digest prefixes within that
+    second. A day, a second or a video may hold any share of the rows; every step
+    counts with map-side aggregation, and only buckets of a few rows are ever sorted.
+    ``keys`` must be unique. None means that no row is before the cut.
     """
-    rows = df.select(_publish_second(ts).alias("s"), *keys)
+    rows = df.select(_publish_second(ts).alias("s"), row_hash(keys).alias("h"))
     day = F.floor(F.col("s") / 86400)
-    found = _bucket_of_rank(
-        rows.groupBy(day.alias("b")).agg(F.count("*").alias("n")),
-        F.floor(F.col("total") * fraction),
-    )
+    found = _bucket_of_rank(rows, day, F.floor(F.col("total") * fraction))
     if found is None:
         return None
-    offset = int(found["rank"]) - found["before"]
-
     rows = rows.filter(day == found["b"])
-    found = _bucket_of_rank(
-        rows.groupBy(F.col("s").alias("b")).agg(F.count("*").alias("n")), F.lit(offset)
-    )
-    second, offset, size = found["b"], offset - found["before"], found["n"]
+    offset, size = int(found["rank"]) - found["before"], found["n"]
 
-    rows = rows.filter(F.col("s") == second).select(row_hash(keys).alias("h"))
-    if offset == size:
-        return Cut(second, "g")  # the whole second: above every digest
+    if size > SMALL_BUCKET:
+        found = _bucket_of_rank(rows, F.col("s"), F.lit(offset))
+        rows = rows.filter(F.col("s") == found["b"])
+        offset, size = offset - found["before"], found["n"]
     digits = 0
     while size > SMALL_BUCKET and digits < HEX_DIGITS:
         digits += STEP_DIGITS
-        found = _bucket_of_rank(
-            rows.groupBy(F.substring("h", 1, digits).alias("b")).agg(
-                F.count("*").alias("n")
-            ),
-            F.lit(offset),
-        )
+        found = _bucket_of_rank(rows, F.substring("h", 1, digits), F.lit(offset))
         rows = rows.filter(F.col("h").startswith(found["b"]))
         offset, size = offset - found["before"], found["n"]
-    last = rows.orderBy("h").limit(offset).agg(F.max("h").alias("h")).first()
-    return Cut(second, last["h"])
+    last = rows.orderBy("s", "h").limit(offset).agg(F.max(F.struct("s", "h")).alias("m"))
+    return Cut(*last.first()["m"])
 
 
 def split_at(
