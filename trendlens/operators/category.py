@@ -5,7 +5,7 @@ name the few result rows. Reports keyed by name join first: several ids share
 "Unknown". Counts run over observations, sums of views over the entity view.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendlens.functions.rates import ratio_plus_one
@@ -27,14 +27,14 @@ def categories(obs: DataFrame) -> DataFrame:
     return _named(distinct_values(obs, [ID])).orderBy(ID)
 
 
-def distinct_counts(obs: DataFrame) -> DataFrame:
-    """How many categories and channels there are; NULL counts as one value."""
+def _values(c: str) -> Column:
+    return F.count_distinct(c) + F.max(F.col(c).isNull().cast("int"))
 
-    def values(c: str):
-        return F.count_distinct(c) + F.max(F.col(c).isNull().cast("int"))
 
+def distinct_counts(obs: DataFrame) -> DataFrame:
+    """How many categories and channels there are; NULL counts as one value."""
     return obs.agg(
-        values(ID).alias("total_categories"), values("channelTitle").alias("total_channels")
+        _values(ID).alias("total_categories"), _values("channelTitle").alias("total_channels")
     )
 
 
@@ -117,23 +117,36 @@ def best_videos(entity: DataFrame, k: int = 1, tie=("video_id",)) -> DataFrame:
 
 
 def summary(obs: DataFrame, entity: DataFrame) -> DataFrame:
-    """One row: the leading category by each measure, and the totals."""
+    """One row: the leading category by each measure, and the totals.
 
-    def leader(report: DataFrame, measure: str, *more: str) -> DataFrame:
-        first = top_n(report, measure, 1, tie=(ID,))
-        return first.select(
-            F.col(NAME).alias("top_by_" + measure), F.col(measure).alias(measure), *more
-        )
+    The observations are aggregated per category once for all of their measures;
+    leaders and totals come from those few rows. Only the channels in total need a
+    distinct count of their own.
+    """
 
-    totals = obs.agg(F.count("*").alias("total_rows"))
-    return one_row(
-        leader(shares(obs), "count", "percentage"),
-        leader(total_views(entity), "total_views"),
-        leader(unique_channels(obs), "unique_channels"),
-        leader(average_metrics(obs), "avg_likes"),
-        totals,
-        distinct_counts(obs),
+    def leader(measure: str) -> list[Column]:
+        m = F.col(measure)
+        return [
+            F.max_by(NAME, F.struct(m, -F.col(ID))).alias("top_by_" + measure),
+            F.max(m).alias(measure),
+        ]
+
+    per_id = obs.groupBy(ID).agg(
+        F.count("*").alias("count"),
+        F.count_distinct("channelTitle").alias("unique_channels"),
+        F.avg("likes_num").alias("avg_likes"),
+    )
+    rows = with_category_name(per_id).agg(
+        *leader("count"),
+        (F.try_divide(F.max("count"), F.sum("count")) * 100).alias("percentage"),
+        *leader("unique_channels"),
+        *leader("avg_likes"),
+        F.sum("count").alias("total_rows"),
+        F.count("*").alias("total_categories"),
     )
+    views = total_views(entity).agg(*leader("total_views"))
+    channels = obs.agg(_values("channelTitle").alias("total_channels"))
+    return one_row(rows, views, channels)
 
 
 def date_range(obs: DataFrame, ts: str = "trending_date") -> DataFrame:

@@ -4,7 +4,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendlens.operators.enrich import with_category_name
-from trendlens.operators.topn import one_row, top_n
 
 ID = "categoryId"
 NAME = "category_name"
@@ -44,25 +43,21 @@ def rates_per_category(entity: DataFrame) -> DataFrame:
     )
 
 
-def _totals() -> list[Column]:
-    return [
+def totals(entity: DataFrame) -> DataFrame:
+    return entity.agg(
         F.count("*").alias("total_videos"),
         F.sum("view_count_num").alias("total_views"),
         F.sum("likes_num").alias("total_likes"),
         F.sum("comment_count_num").alias("total_comments"),
         F.avg("engagement_rate").alias("avg_engagement_rate"),
-    ]
-
-
-def totals(entity: DataFrame) -> DataFrame:
-    return entity.agg(*_totals())
+    )
 
 
-def _leader(metric: str, name: str, key: str) -> list[Column]:
-    """Title and value of the largest metric; the smaller key wins a tie."""
-    m = F.col(metric)
-    order = F.when(m.isNotNull(), F.struct(-m, F.col(key)))
-    return [F.min_by("title", order).alias(name), F.max(m).alias(f"{name}_{metric}")]
+LEADERS = {
+    "most_viewed": "view_count_num",
+    "most_engaging": "engagement_rate",
+    "most_liked": "likes_num",
+}
 
 
 def interaction_summary(
@@ -73,23 +68,44 @@ def interaction_summary(
 ) -> DataFrame:
     """One row: totals, leading videos, leading category and two named categories.
 
-    Totals and leaders share one pass; the category values come from the report.
+    The entity view, costly to make, is read once: it is reduced to one row per
+    category, and those few rows give everything else. The smaller key wins a tie.
     """
-    videos = entity.agg(
-        *_totals(),
-        *_leader("view_count_num", "most_viewed", key),
-        *_leader("engagement_rate", "most_engaging", key),
-        *_leader("likes_num", "most_liked", key),
-    )
-    report = rates_per_category(entity)
-    leader = top_n(report, "avg_engagement_rate", 1, tie=(ID,)).select(
-        F.col(NAME).alias("top_category"),
-        F.col("avg_engagement_rate").alias("top_category_rate"),
+
+    def best(metric: str) -> Column:
+        m = F.col(metric)
+        entry = F.struct((-m).alias("order"), F.col(key), "title", m.alias("value"))
+        return F.min(F.when(m.isNotNull(), entry))
+
+    per_id = entity.groupBy(ID).agg(
+        F.count("*").alias("videos"),
+        *[F.sum(c).alias(c) for c in ("view_count_num", "likes_num", "comment_count_num")],
+        F.sum("engagement_rate").alias("rates"),
+        F.count("engagement_rate").alias("rated"),
+        *[best(metric).alias(name) for name, metric in LEADERS.items()],
     )
-    named = report.agg(
-        F.max(F.when(F.col(NAME) == count_of, F.col("video_count"))).alias("named_count"),
-        F.max(F.when(F.col(NAME) == rate_of, F.col("avg_engagement_rate"))).alias(
-            "named_rate"
-        ),
+    rate = F.try_divide("rates", "rated")
+    named = with_category_name(per_id).withColumn("rate", rate)
+    name = F.col(NAME)
+    row = named.agg(
+        F.sum("videos").alias("total_videos"),
+        F.sum("view_count_num").alias("total_views"),
+        F.sum("likes_num").alias("total_likes"),
+        F.sum("comment_count_num").alias("total_comments"),
+        F.try_divide(F.sum("rates"), F.sum("rated")).alias("avg_engagement_rate"),
+        *[F.min(leader).alias(leader) for leader in LEADERS],
+        F.max_by(name, F.struct("rate", -F.col(ID))).alias("top_category"),
+        F.max("rate").alias("top_category_rate"),
+        F.max(F.when(name == count_of, F.col("videos"))).alias("named_count"),
+        F.max(F.when(name == rate_of, F.col("rate"))).alias("named_rate"),
     )
-    return one_row(videos, leader, named)
+    leaders = [
+        c
+        for leader, metric in LEADERS.items()
+        for c in (
+            F.col(leader)["title"].alias(leader),
+            F.col(leader)["value"].alias(f"{leader}_{metric}"),
+        )
+    ]
+    others = [c for c in row.columns if c not in LEADERS]
+    return row.select(*others, *leaders)
