@@ -12,6 +12,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Java compiles no method above 8000 bytes. A wide projection or filter fused into
+    # one larger method would run interpreted; unfused, Spark splits it into small ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 

@@ -31,7 +31,7 @@ _BAD_DATE = "l_linenumber = 7 AND l_orderkey % 10 = 0"
 _VIEWS = """CASE WHEN l_orderkey % 97 = 0 THEN 0L
   WHEN l_partkey % 50 = 0 THEN CAST(round(l_extendedprice * 100) AS BIGINT) * 100
   ELSE CAST(round(l_extendedprice * 100) AS BIGINT) END"""
-_PUBLISHED = "first_ship - make_dt_interval(0, CAST(l_partkey % 240 AS INT))"
+_PUBLISHED = "timestampadd(HOUR, -CAST(l_partkey % 240 AS INT), first_ship)"
 _CYCLE = ", ".join(str(c) for c in CATEGORY_CYCLE)
 _COLUMNS = {
     "l_orderkey": "l_orderkey",
