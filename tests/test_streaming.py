@@ -136,3 +136,13 @@ def test_merge_history_rewrites_touched_months_only(spark, tmp_path):
     }
     after = {p.name for p in (tmp_path / "history" / "snapshot_month=2024-01").iterdir()}
     assert after == january
+
+
+def test_partitioned_write_makes_few_files(spark, small, tmp_path):
+    obs = frames.observations(spark, small).repartition(8)
+    year = F.year("trending_date").alias("y")
+    sinks.write_clean(obs.select("*", year), str(tmp_path / "t"), ["y"])
+    folders = list((tmp_path / "t").glob("y=*"))
+    assert len(folders) > 3
+    assert all(len(list(f.glob("*.parquet"))) == 1 for f in folders)
+    assert spark.read.parquet(str(tmp_path / "t")).count() == obs.count()

@@ -22,7 +22,18 @@ PREDICTIONS = "predictions"
 RESET = (REALTIME, PREDICTIONS)
 
 
+def _rebalanced(df: DataFrame, cols: Iterable[str]) -> DataFrame:
+    """Rows of one folder together, in as many even files as their size asks for.
+
+    Else every task would write a file into every folder. Unlike a repartition by the
+    column, this splits a folder that holds most of the rows over several tasks.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in cols])
+
+
 def write_clean(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> None:
+    if partition_by:
+        df = _rebalanced(df, partition_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
@@ -72,7 +83,8 @@ def merge_history(
     touched = old.filter(F.col(partition).isin(months))
     merged = upsert_keep_last(touched, new.select(*old.columns), keys, latest)
     (
-        merged.write.mode("overwrite")
+        _rebalanced(merged, [partition])
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
