@@ -853,9 +853,10 @@ def m11(spark, d):
 
 
 def _stream(spark, d) -> str:
-    """The whole table as a message stream through the scoring job; output folder."""
+    """The whole table as a message stream through the scoring job, in two or more
+    micro-batches; output folder."""
     root = scratch_path(spark, "stream")
-    sinks.publish_files(_message_rows(spark, d), f"{root}/in")
+    sinks.publish_files(_message_rows(spark, d).repartition(8), f"{root}/in")
     stream = messages.read_message_files(spark, f"{root}/in", per_trigger=4)
     job = scoring.start(
         stream, frames.model(spark, d)[0], root, f"{root}/offsets", available_now=True
