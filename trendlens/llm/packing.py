@@ -55,6 +55,8 @@ def cuts(places: np.ndarray, penalties: np.ndarray, size: int) -> list[int]:
             queue.popleft()
         i = queue[0]
         last = j == len(at) - 1
+        if last:
+            i = min((k for k in range(j) if at[j] - at[k] <= size), key=cost.__getitem__)
         cost[j] = cost[i] + (0 if last else size - (at[j] - at[i]) + fee[j])
         back[j] = i
         while queue and cost[queue[-1]] + at[queue[-1]] > cost[j] + at[j]:
