@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -72,7 +73,7 @@ def _grown(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def _slab(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _spans(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     codes = np.frombuffer(data, np.uint8)
     word = np.zeros(len(codes) + 2, np.int8)
     word[1:-1] = ~_is_space[codes]
@@ -81,20 +82,44 @@ def _slab(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     power, inverse = _grown(len(codes) + 1)
     sums = np.zeros(len(codes) + 1, np.uint64)
     np.cumsum(_letter[codes] * power[: len(codes)], out=sums[1:])
+    return sums, inverse, starts, ends
+
+
+def _slab(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    sums, inverse, starts, ends = _spans(data)
     return mix((sums[ends] - sums[starts]) * inverse[starts]), starts, ends
 
 
+def _slabs(data: bytes) -> Iterator[tuple[int, bytes]]:
+    """Places and stretches of about SLAB bytes that part no word."""
+    at = 0
+    while at < len(data):
+        found = _space.search(data, at + SLAB) if len(data) - at > SLAB else None
+        end = found.start() if found else len(data)
+        yield at, data[at:end]
+        at = end
+
+
+def word_prefixes(data: bytes, sizes: tuple[int, ...]) -> list[np.ndarray]:
+    """Hashes of a text's words, then of the first bytes of the words longer than each size."""
+    found: list[list[np.ndarray]] = [[np.empty(0, np.uint64)] for _ in range(len(sizes) + 1)]
+    for _, part in _slabs(data):
+        sums, inverse, starts, ends = _spans(part)
+        found[0].append(mix((sums[ends] - sums[starts]) * inverse[starts]))
+        for k, size in enumerate(sizes):
+            at = starts[ends - starts > size]
+            found[k + 1].append(mix((sums[at + size] - sums[at]) * inverse[at]))
+    return [np.concatenate(f) for f in found]
+
+
 def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first byte and end of each word of a text, A-Z read as a-z."""
     if len(data) <= SLAB:
         return _slab(data)
-    parts, at = [], 0
-    while at < len(data):
-        found = _space.search(data, at + SLAB)
-        end = found.start() if found else len(data)
-        h, s, e = _slab(data[at:end])
+    parts = []
+    for at, part in _slabs(data):
+        h, s, e = _slab(part)
         parts.append((h, s + at, e + at))
-        at = end
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 

@@ -5,12 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trendlens.llm import chat, minhash, packing, rules, spotsigs
+from trendlens.llm import chat, language, minhash, packing, quality, rules, spotsigs, toxicity
 from trendlens.llm.common import read
 
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(read(spark, sf_dir, "documents"))
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.components_of(read(spark, sf_dir, "documents"), minhash.Linking())
 
@@ -23,6 +27,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read(spark, sf_dir, "documents"), packing.Packing(public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -33,4 +41,8 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(rows.union(hostile))
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash, op3_spotsigs, op4_packing, op7_rules, op9_chat)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language, op2_minhash, op3_spotsigs, op4_packing, op5_quality, op7_rules, op9_chat, op10_toxicity)}
