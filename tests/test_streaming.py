@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,7 +37,9 @@ def write_files(folder, batches):
     folder.mkdir()
     for n, batch in enumerate(batches):
         lines = "\n".join(json.dumps(m) for m in batch)
-        (folder / f"{n:03}.json").write_text(lines + "\n")
+        file = folder / f"{n:03}.json"
+        file.write_text(lines + "\n")
+        os.utime(file, (1_700_000_000 + n, 1_700_000_000 + n))  # the source reads in this order
 
 
 def test_decode(spark):
@@ -61,8 +64,10 @@ def test_stream_equals_batch_and_survives_replay(spark, fitted, tmp_path):
 
     run()
     stored = spark.read.parquet(f"{root}/{sinks.REALTIME}")
-    assert stored.count() == 30
+    every = [f"v{i}" for i in range(30)]
+    assert sorted(r[0] for r in stored.select("video_id").collect()) == sorted(every)
     assert stored.select("batch_id").distinct().count() == 3
+    assert stored.select("batch_id", "processing_timestamp").distinct().count() == 3
 
     text = spark.read.text(str(tmp_path / "in"))
     batch = model.score(messages.decode(text), fitted)
@@ -75,9 +80,9 @@ def test_stream_equals_batch_and_survives_replay(spark, fitted, tmp_path):
 
     # the same batch once more, as after a lost commit
     again = messages.decode(text).filter("int(substring(video_id, 2)) >= 20")
-    scoring.process_batch(again, 2, fitted, root)
+    scoring.process_batch(again, 2, fitted, root, str(tmp_path / "offsets"))
     stored = spark.read.parquet(f"{root}/{sinks.REALTIME}")
-    assert stored.count() == 30
+    assert sorted(r[0] for r in stored.select("video_id").collect()) == sorted(every)
 
     stats = spark.read.parquet(f"{root}/{sinks.CATEGORY_STATS}")
     assert stats.filter("categoryId IS NULL").isEmpty()
@@ -146,3 +151,26 @@ def test_partitioned_write_makes_few_files(spark, small, tmp_path):
     assert len(folders) > 3
     assert all(len(list(f.glob("*.parquet"))) == 1 for f in folders)
     assert spark.read.parquet(str(tmp_path / "t")).count() == obs.count()
+
+
+def test_new_checkpoint_keeps_stored_batches(spark, fitted, tmp_path):
+    root = str(tmp_path / "out")
+    for k, name in enumerate(("first", "second")):
+        write_files(tmp_path / name, [[message(100 * k + 10 * b + i) for i in range(10)] for b in range(2 - k)])
+        stream = messages.read_message_files(spark, str(tmp_path / name), per_trigger=1)
+        scoring.start(stream, fitted, root, str(tmp_path / f"offsets-{name}"), available_now=True).awaitTermination()
+    stored = spark.read.parquet(f"{root}/{sinks.REALTIME}")
+    assert sorted(int(r[0][1:]) for r in stored.select("video_id").collect()) == [*range(20), *range(100, 110)]
+    top = serving.top_predictions(spark.read.parquet(f"{root}/{sinks.PREDICTIONS}"), 100).collect()
+    assert {(r["run_id"], r["batch_id"]) for r in top} == {(top[0]["run_id"], 0)}
+    runs = dict(stored.select("video_id", "run_id").collect())
+    assert top[0]["run_id"] == runs["v100"] != runs["v0"]
+
+
+def test_merge_history_keeps_rows_without_month(spark, tmp_path):
+    path = str(tmp_path / "history")
+    schema = "video_id string, trending_date string, n int, snapshot_month string"
+    old = [("a", "2024-01-01", 1, "2024-01"), ("x", None, 2, None)]
+    sinks.write_clean(spark.createDataFrame(old, schema), path, ["snapshot_month"])
+    sinks.merge_history(spark, spark.createDataFrame([("b", None, 3, None)], schema), path)
+    assert {(r["video_id"], r["n"]) for r in spark.read.parquet(path).collect()} == {("a", 1), ("x", 2), ("b", 3)}

@@ -82,10 +82,11 @@ def pair_value(matrix: DataFrame, a: str, b: str) -> DataFrame:
 def log_density(
     df: DataFrame, relations=RELATIONS, per_decade: int = 4, step: float = 1.0
 ) -> DataFrame:
-    """Scatter plots as counts on a grid: positive pairs only.
+    """Scatter plots as counts on a grid: positive values only on a log axis.
 
     Log axes have ``per_decade`` cells per power of ten, linear ones cells of width
-    ``step``. The result is a few thousand cells at any input size.
+    ``step``. On log axes the result is a few thousand cells at any
+    input size; on a linear one as many as its values span steps.
     """
 
     def log_cell(c: str) -> Column:
@@ -94,7 +95,7 @@ def log_density(
     points = []
     for x, y, y_log in relations:
         cell = log_cell(y) if y_log else F.floor(F.col(y) / step)
-        both = (F.col(x) > 0) & (F.col(y) > 0)
+        both = (F.col(x) > 0) & ((F.col(y) > 0) if y_log else F.col(y).isNotNull())
         points.append(
             F.struct(
                 F.lit(x).alias("x"),

@@ -144,6 +144,8 @@ def find_cut(
         found = _bucket_of_rank(rows, F.substring("h", 1, digits), F.lit(offset))
         rows = rows.filter(F.col("h").startswith(found["b"]))
         offset, size = offset - found["before"], found["n"]
+    if size > SMALL_BUCKET:  # rows of one digest, which no key parts: they stay together
+        return Cut(rows.first()["s"], found["b"])
     last = rows.orderBy("s", "h").limit(offset).agg(F.max(F.struct("s", "h")).alias("m"))
     return Cut(*last.first()["m"])
 

@@ -171,10 +171,11 @@ def _density() -> str:
         ("view_count_num", "engagement_rate", flat),
         ("likes_num", "comment_count_num", log),
     ):
+        wanted = f"{x} > 0 AND {y} > 0" if y_cell is log else f"{x} > 0 AND {y} IS NOT NULL"
         cells.append(
             f"SELECT '{x}' AS x, '{y}' AS y, {log.format(x)} AS x_cell, "
             f"{y_cell.format(y)} AS y_cell, count(*) AS count "
-            f"FROM rated WHERE {x} > 0 AND {y} > 0 GROUP BY ALL"
+            f"FROM rated WHERE {wanted} GROUP BY ALL"
         )
     return " UNION ALL ".join(cells)
 

@@ -201,7 +201,7 @@ def k06(spark, d):
     for batch_id in (0, 1):
         sinks.write_batch(_stats(spark, d), path, batch_id)
     stored = spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
-    return rounded(stored, "view_count_mean", "engagement_rate_mean")
+    return rounded(stored.drop("run_id"), "view_count_mean", "engagement_rate_mean")
 
 
 def _predictions(spark, d) -> str:
@@ -216,7 +216,7 @@ def _predictions(spark, d) -> str:
 
 @query("k07_replace_predictions")
 def k07(spark, d):
-    return sinks.latest_batch(spark.read.parquet(_predictions(spark, d))).drop("batch_id")
+    return sinks.latest_batch(spark.read.parquet(_predictions(spark, d))).drop("run_id", "batch_id")
 
 
 @query("k08_reset_outputs")
@@ -901,7 +901,7 @@ def r01(spark, d):
 
 @query("r02_top_predictions")
 def r02(spark, d):
-    return serving.top_predictions(spark.read.parquet(_predictions(spark, d))).drop("batch_id")
+    return serving.top_predictions(spark.read.parquet(_predictions(spark, d))).drop("run_id", "batch_id")
 
 
 @query("r03_latest_category_stats")

@@ -1,9 +1,11 @@
 """The micro-batch job: decode, score, summarise, store."""
 
+import json
+from datetime import UTC, datetime
 from functools import partial
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -76,31 +78,42 @@ def without_nan(df: DataFrame) -> DataFrame:
     )
 
 
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a checkpoint keeps for its stream, the same after every restart."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def process_batch(
-    batch: DataFrame, batch_id: int, model: PipelineModel, root: str
+    batch: DataFrame, batch_id: int, model: PipelineModel, root: str, checkpoint: str | None = None
 ) -> None:
     """Scores one micro-batch of decoded messages and stores the three outputs.
 
+    All rows carry one time, and the run that ``checkpoint`` belongs to.
+
     The scored batch feeds three writes, so it is kept once in memory or on disk; a
     lost block is computed again from the source offsets.
     """
     scored = without_nan(score(batch, model)).persist()
-    now = F.current_timestamp()
+    now = F.lit(f"{datetime.now(UTC):%Y-%m-%d %H:%M:%S.%f}").cast("timestamp_ntz")
+    run = run_id(batch.sparkSession, checkpoint) if checkpoint else "run"
     try:
         sinks.write_batch(
             scored.withColumn("processing_timestamp", now),
             f"{root}/{sinks.REALTIME}",
             batch_id,
+            run,
         )
         sinks.write_batch(
             batch_category_stats(scored).withColumn("timestamp", now),
             f"{root}/{sinks.CATEGORY_STATS}",
             batch_id,
+            run,
         )
         sinks.write_batch(
             prediction_rows(scored).withColumn("timestamp", now),
             f"{root}/{sinks.PREDICTIONS}",
             batch_id,
+            run,
         )
     finally:
         scored.unpersist()
@@ -116,7 +129,7 @@ def start(
     """Runs the job over a stream of JSON messages; offsets live in ``checkpoint``."""
     writer = (
         decode(messages)
-        .writeStream.foreachBatch(partial(process_batch, model=model, root=root))
+        .writeStream.foreachBatch(partial(process_batch, model=model, root=root, checkpoint=checkpoint))
         .option("checkpointLocation", checkpoint)
     )
     if available_now:

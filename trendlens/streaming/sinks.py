@@ -15,6 +15,8 @@ from trendlens.operators.clean import times_as_text
 from trendlens.operators.dedup import upsert_keep_last
 
 BATCH = "batch_id"
+#: Which run of a stream wrote a batch: batch ids begin at 0 again with every checkpoint.
+RUN = "run_id"
 REALTIME = "realtime_data"
 CATEGORY_STATS = "category_stats"
 PREDICTIONS = "predictions"
@@ -44,12 +46,14 @@ def export_text(df: DataFrame, path: str) -> None:
     ).csv(path)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+def write_batch(df: DataFrame, path: str, batch_id: int, run: str = "run") -> None:
+    """Stores a batch of a run; the same batch written again replaces itself alone."""
     (
-        df.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        df.withColumn(RUN, F.lit(run))
+        .withColumn(BATCH, F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH)
+        .partitionBy(RUN, BATCH)
         .parquet(path)
     )
 
@@ -57,10 +61,15 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 def latest_batch(df: DataFrame) -> DataFrame:
     """Rows of the newest batch: the current snapshot of a replaced table.
 
-    The newest id comes from a scalar subquery over the partition column.
+    Newest by the time its rows carry, if they do, as another run may have begun since;
+    then by run and batch id. It comes from a scalar subquery over these columns.
     """
-    newest = df.select(F.max(BATCH)).scalar()
-    return df.filter(F.col(BATCH) == newest)
+    order = [c for c in ("timestamp", RUN, BATCH) if c in df.columns]
+    newest = df.select(F.max(F.struct(*order)))
+    if RUN not in df.columns:
+        return df.filter(F.col(BATCH) == newest.select(F.col(newest.columns[0])[BATCH]).scalar())
+    which = newest.select(F.struct(*[F.col(newest.columns[0])[c].alias(c) for c in (RUN, BATCH)])).scalar()
+    return df.filter((F.col(RUN) == which[RUN]) & (F.col(BATCH) == which[BATCH]))
 
 
 def merge_history(
@@ -73,14 +82,15 @@ def merge_history(
 ) -> None:
     """Upserts new observations into a history partitioned by snapshot month.
 
-    Only months that occur in ``new`` are read and rewritten, so a daily load does
-    not touch the rest of the history. ``partition`` must follow from the keys.
+    Only months that occur in ``new`` are rewritten, so a daily load does not touch
+    the rest of the history; rows without a month are a month of their own.
+    ``partition`` must follow from the keys. Spark moves the new files in once all are
+    written; a driver lost during that move can leave a month to be loaded again.
     """
     keys = list(keys)
-    # a handful of calendar months; as literals they prune partitions before the scan
-    months = [row[0] for row in new.select(partition).distinct().collect()]
     old = spark.read.parquet(path)
-    touched = old.filter(F.col(partition).isin(months))
+    months = new.select(F.col(partition).alias("_month")).distinct()
+    touched = old.join(months, F.col(partition).eqNullSafe(F.col("_month")), "left_semi")
     merged = upsert_keep_last(touched, new.select(*old.columns), keys, latest)
     (
         _rebalanced(merged, [partition])
