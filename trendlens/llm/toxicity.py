@@ -40,7 +40,7 @@ _signs = re.escape(SIGNS)
 _disguise = re.compile(
     rf"(?<![^\W_])[^\W_](?:[ .\-_*][^\W_]){{3,}}(?![^\W_])"
     rf"|[^\W\d_][{_signs}]+[^\W_][^\W_{_signs}]*(?:[{_signs}]+[^\W\d_]+)*"
-    rf"|(?<![\w{_signs}])[{_signs}]{{1,2}}[^\W\d_]{{2,}}(?:[{_signs}]+[^\W\d_]+)*"
+    rf"|(?<![\w{_signs}])[{_signs}]{{1,2}}(?:[^\W\d_]{{2,}}|[^\W\d_][{_signs}]+[^\W\d_]+)(?:[{_signs}]+[^\W\d_]+)*"
     r"|([^\W\d_])\1{2,}"
 )
 _apart = re.compile(r"[ .\-_*]")
