@@ -174,6 +174,17 @@ def asked(slabs: DataFrame, shards: int, how: Model) -> tuple[DataFrame, DataFra
     return slabs.mapInArrow(walk, schema)
 
 
+def _short(contexts: np.ndarray) -> bytes:
+    """The 40 leading bits of each, which are all that a trie keeps."""
+    return contexts.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 3:].tobytes()
+
+
+def _long(cells: bytes) -> np.ndarray:
+    out = np.zeros((len(cells) // 5, 8), np.uint8)
+    out[:, 3:] = np.frombuffer(cells, np.uint8).reshape(-1, 5)
+    return out.view("<u8").ravel()
+
+
 def _shard(key: np.ndarray, shards: int) -> np.ndarray:
     return ((key >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
@@ -185,18 +196,19 @@ def _packed(kind: int, slab: int, key: np.ndarray, contexts: np.ndarray, words:
     for k in range(shards):
         at = order[ends[k] : ends[k + 1]]
         if len(at):
-            cells = [contexts[at].tobytes(), words[at].tobytes() if kind else b"", counts[at].astype("<u4").tobytes()]
+            cells = [_short(contexts[at]) if kind else contexts[at].tobytes(), words[at].tobytes() if kind else b"", counts[at].astype("<u4").tobytes()]
             yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([k], pa.int32()), pa.array([slab], pa.int32()), *[pa.array([c], pa.binary()) for c in cells]], names=["kind", "shard", "slab", "contexts", "words", "counts"])
 
 
 def answered(asks: DataFrame, shards: int) -> DataFrame:
     """(slab, kind, shard, values): for words their counts, for pairs the log10 of their
-    counts as the shard's trie holds them, in the order asked."""
+    counts as the shard's trie holds them, in the order asked. A row of slab -1 holds how
+    many tokens of a shard's words are learned from, and how many distinct ones."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
         for (kind, shard), group in groupby(rows, key=lambda r: r[:2]):
-            parts = [(slab, np.frombuffer(c, "<u8"), np.frombuffer(w, "<u4") if kind else None, np.frombuffer(n, "<u4")) for _, _, slab, c, w, n in group]
+            parts = [(slab, _long(c) if kind else np.frombuffer(c, "<u8"), np.frombuffer(w, "<u4") if kind else None, np.frombuffer(n, "<u4")) for _, _, slab, c, w, n in group]
             counts = np.concatenate([p[3] for p in parts]).astype(np.int64)
             contexts = np.concatenate([p[1] for p in parts])
             if kind:
@@ -212,6 +224,8 @@ def answered(asks: DataFrame, shards: int) -> DataFrame:
             else:
                 known, place = np.unique(contexts, return_inverse=True)
                 totals = np.bincount(place, counts, len(known))
+                seen = np.array([counts.sum(), (totals > 0).sum()], "<i8")
+                yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([0], pa.int32()), pa.array([shard], pa.int32()), pa.array([seen.tobytes()], pa.binary())], names=["slab", "kind", "shard", "answer"])
             for slab, asked_contexts, asked_words, _ in parts:
                 if kind:
                     values = (trie.lookup(asked_contexts, asked_words) + np.float32(top)).astype("<f4")
@@ -233,16 +247,15 @@ def scored(docs: DataFrame, how: Model = Model()) -> DataFrame:
     """
     chars = docs.agg(F.sum(F.length("text") + F.lit(1))).first()[0] or 0
     shards = slabs = int(chars // how.slab_chars) + 1
-    dealt_docs = stored(dealt(docs, slabs).repartition(slabs, "slab").sortWithinPartitions("slab"), "slabs")
+    dealt_docs = dealt(docs, slabs)
     in_slabs = dealt_docs.repartition(slabs, "slab").sortWithinPartitions("slab")
-    asks = stored(asked(in_slabs, shards, how), "asks")
-    answers = stored(answered(asks, shards), "answers")
-
-    sums = {r.kind: r for r in word_totals(asks.filter("kind = 0"))}
-    n, v = (sums[0].n, sums[0].v) if sums else (0, 0)
+    answers = stored(answered(asked(in_slabs, shards, how), shards), "answers")
+    # two numbers for each shard, of which there is one for every slab_chars characters
+    totals = [np.frombuffer(r.answer, "<i8") for r in answers.filter("slab = -1").select("answer").collect()]
+    n, v = np.sum(totals, axis=0).tolist() if totals else (0, 0)
 
     both = dealt_docs.select("slab", F.lit(2).alias("kind"), F.lit(0).alias("shard"), F.lit(None).cast("binary").alias("answer"), "doc_id", "text")
-    both = both.unionByName(answers.filter("answer IS NOT NULL"), allowMissingColumns=True)
+    both = both.unionByName(answers.filter("slab >= 0"), allowMissingColumns=True)
     both = both.repartition(slabs, "slab").sortWithinPartitions("slab", "kind", "shard")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,23 +273,6 @@ def scored(docs: DataFrame, how: Model = Model()) -> DataFrame:
     return both.mapInArrow(walk, COLUMNS)
 
 
-def word_totals(words: DataFrame) -> list:
-    """Tokens learned from and distinct ones among them, from the packed counts of words."""
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
-        for _, group in groupby(rows, key=lambda r: r[0]):
-            seen, total = np.empty(0, np.uint64), 0
-            for _, contexts, counts in group:
-                counts = np.frombuffer(counts, "<u4")
-                seen = np.union1d(seen, np.frombuffer(contexts, "<u8")[counts > 0])
-                total += int(counts.sum(dtype=np.int64))
-            yield pa.RecordBatch.from_pydict({"n": [total], "v": [len(seen)]})
-
-    found = words.repartition("shard").sortWithinPartitions("shard").select("shard", "contexts", "counts").mapInArrow(walk, "n long, v long")
-    return found.agg(F.lit(0).alias("kind"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v")).collect()
-
-
 def _judged(held: list[tuple], replies: dict[int, list[bytes]], n: int, v: int, how: Model, shards: int) -> pa.RecordBatch:
     here, before, sizes, _ = _slab_of(held, how)
     words, place = np.unique(here, return_inverse=True)
