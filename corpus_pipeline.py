@@ -38,7 +38,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("toxicity", without_toxic), ("quality", without_poor), ("near_duplicates", without_near_duplicates), ("packing", packed)]
-#: Learned models and windows cannot be told in SQL; the tests hold each stage against its operator.
+#: Learned models and windows cannot be told in SQL; the tests cover the operators that the stages call.
 ORACLE_SQL = None
 
 
