@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from trendlens.llm import language, learning, minhash, ngrams, quality, rules, spotsigs, toxicity
 
@@ -176,6 +177,20 @@ def test_classifiers_on_odd_rows(spark, odd):
     assert language.identified(odd.limit(0)).count() == 0
 
 
+def test_class_prior_of_a_cut_sample(spark, documents):
+    marks = spark.createDataFrame([(i, int(i % 9 == 0)) for i in range(180)], "doc_id long, toxic int")
+    marks = marks.union(marks).union(spark.createDataFrame([(None, 1), (7, None)], marks.schema))
+    train = [i % 9 == 0 for i in range(180) if zlib.crc32(str(i).encode()) % 3 != 1]
+    odds = sum(train) / (len(train) - sum(train))
+    assert learning.prior_shift(marks, "toxic", 3, 1, 1000) == 0
+    assert math.isclose(learning.prior_shift(marks, "toxic", 3, 1, 5), math.log(odds))
+    assert math.isclose(learning.prior_shift(marks, "toxic", 3, 1, sum(train) + 2), math.log(odds * (sum(train) + 2) / sum(train)))
+    # two equal texts of both labels tell nothing, so that the score is the share of toxic labels
+    same = documents.withColumn("text", F.lit("the same text"))
+    score = toxicity.scored(same, marks, toxicity.Channel(per_class=5)).first().score
+    assert abs(math.log(score / (1 - score)) - math.log(odds)) < 0.7
+
+
 def test_empty_tables(odd, labels):
     none = odd.limit(0)
     assert minhash.components_of(none, minhash.Linking()).count() == 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,18 +13,31 @@ from pyspark.sql.window import Window
 from trendlens.llm.common import fold
 
 
+def _training(labels: DataFrame, column: str, parts: int, held: int) -> DataFrame:
+    rows = labels.filter(F.col(column).isin(0, 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.col(column).cast("int").alias("label"))
+    return rows.filter(fold("doc_id", parts) != held).groupBy("doc_id").agg(F.max("label").alias("label"))
+
+
 def labelled_sample(labels: DataFrame, column: str, parts: int, held: int, per_class: int) -> DataFrame:
     """(doc_id, label): at most ``per_class`` labelled ids of each class 0 and 1, by hash.
 
     Ids whose crc32 modulo ``parts`` is ``held`` are left out, and so are NULLs. An id
     labelled more than once counts with its largest label.
     """
-    rows = labels.filter(F.col(column).isin(0, 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.col(column).cast("int").alias("label"))
-    rows = rows.filter(fold("doc_id", parts) != held).groupBy("doc_id").agg(F.max("label").alias("label"))
+    rows = _training(labels, column, parts, held)
     some = [rows.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for k in (0, 1)]
     return some[0].union(some[1])
 
 
+def prior_shift(labels: DataFrame, column: str, parts: int, held: int, per_class: int) -> float:
+    """The log odds of class 1 among all labelled ids, less those in :func:`labelled_sample`.
+
+    0 while the sample holds both classes whole. One aggregate of two numbers.
+    """
+    counts = dict(_training(labels, column, parts, held).groupBy("label").count().collect())
+    return sum(sign * math.log(counts[k] / min(counts[k], per_class)) for k, sign in ((1, 1), (0, -1)) if k in counts)
+
+
 def first_of_each(rows: DataFrame, column: str, per_class: int) -> DataFrame:
     """At most ``per_class`` rows for each value, by hash of the id; Spark cuts before it shuffles."""
     order = Window.partitionBy(column).orderBy(F.xxhash64("doc_id"), "doc_id")

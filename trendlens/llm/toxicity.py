@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendlens.llm.common import crc_fold, distinct, fold, mix, raw, word_prefixes
-from trendlens.llm.learning import Ftrl, labelled_sample, train
+from trendlens.llm.learning import Ftrl, labelled_sample, prior_shift, train
 
 # Letters that a sign may stand for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
@@ -54,8 +54,8 @@ COLUMNS = "doc_id long, held_out boolean, score double, predicted int"
 
 @dataclass(frozen=True)
 class Channel:
-    """At most ``per_class`` documents of each label are learned from; the character model
-    counts every document whose crc32 modulo ``parts`` is not ``held``."""
+    """At most ``per_class`` documents of each label are learned from, and the bias is then
+    moved to the odds of all training labels; the character model counts every document whose crc32 modulo ``parts`` is not ``held``."""
 
     per_class: int = 3000
     parts: int = 3
@@ -184,7 +184,8 @@ def fitted(docs: DataFrame, labels: DataFrame, how: Channel) -> dict:
     weights, bias = train(inputs, classes, len(known), 2, how.ftrl)
     margin = weights[:, 1] - weights[:, 0]
     kept = margin != 0
-    return {"characters": model, "at": known[kept], "weights": margin[kept], "bias": float(bias[1] - bias[0])}
+    shift = prior_shift(labels, "toxic", how.parts, how.held, how.per_class)
+    return {"characters": model, "at": known[kept], "weights": margin[kept], "bias": float(bias[1] - bias[0]) + shift}
 
 
 def scored(docs: DataFrame, labels: DataFrame, how: Channel = Channel()) -> DataFrame:
