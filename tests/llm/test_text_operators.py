@@ -213,3 +213,27 @@ def test_disguises_are_undone():
     restore = toxicity.Restorer(model)
     for disguised, plain in (("l0ser", "loser"), ("s t u p i d", "stupid"), ("looooser", "loser"), ("1d10t", "idiot"), ("clean words, 20 of them!", "clean words, 20 of them!"), (None, "")):
         assert restore(disguised) == plain
+
+
+def test_whole_words_are_decoded():
+    text = "you are a stupid loser and a fool. you are stupid and pathetic. sit down, asshole, says the fool to a loser. the shot met the hut. as a tool. " * 20
+    total = toxicity.trigrams(text).reshape((toxicity.N,) * 3) + 1e-3
+    model = np.log(total / total.sum(axis=2, keepdims=True)).astype(np.float32)
+    restore = toxicity.Restorer(model)
+    for disguised, plain in (
+        ("you are a s t u p i d person", "you are a stupid person"),
+        ("y o u a r e s t u p i d", "you are stupid"),
+        ("s t u u u u p i d", "stupid"),
+        ("looooser", "loser"),
+        ("a fooool", "a fool"),
+        ("looooos3r", "loser"),
+        ("pathet1c", "pathetic"),
+        ("stup*d", "stupid"),
+        ("h*t", "hut"),
+        ("sh*t", "shot"),
+        ("@$$hole", "asshole"),
+        ("costs 100 or $20 a day", "costs 100 or $20 a day"),
+    ):
+        assert restore(disguised) == plain
+    assert len(restore("s t u p i d " * 500)) < 4200
+    assert toxicity.disguised("looooos3r, no; stup*d") == [(0, 9), (15, 21)]

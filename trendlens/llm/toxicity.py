@@ -1,9 +1,9 @@
 """Toxicity behind disguises: a noisy channel is undone before a text is scored.
 
-Stretches that look disguised (digits and signs between letters, letters set apart,
-letters repeated) become lattices of possible letters. The most likely path under a
-character trigram model of the corpus, found by Viterbi, replaces each. The restored
-text is scored by a sparse logistic regression on its words and their beginnings.
+Words with a stretch that looks disguised (digits and signs between letters, letters
+repeated), and letters set apart, become lattices of possible letters; between letters
+set apart, a path keeps the gap or drops it. The most likely path under a character
+trigram model of the corpus, found by Viterbi, replaces each. The restored text is scored by a sparse logistic regression on its words and their beginnings.
 """
 
 from __future__ import annotations
@@ -27,8 +27,6 @@ MASK = "*"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 ALPHABET = LETTERS + "àáâäçèéêëíîïñóôöúùûüß"
 SIGNS = "0134578@$!|+€*"
-#: Longest stretch decoded as one lattice; longer ones are decoded piece by piece.
-LONGEST = 256
 
 #: Codes of the trigram model: 0 is everything that is no letter.
 _code = {c: i + 1 for i, c in enumerate(ALPHABET)}
@@ -40,10 +38,15 @@ _signs = re.escape(SIGNS)
 _disguise = re.compile(
     rf"(?<![^\W_])[^\W_](?:[ .\-_*][^\W_]){{3,}}(?![^\W_])"
     rf"|[^\W\d_][{_signs}]+[^\W_][^\W_{_signs}]*(?:[{_signs}]+[^\W\d_]+)*"
-    rf"|(?<![\w{_signs}])[{_signs}]{{1,2}}(?:[^\W\d_]{{2,}}|[^\W\d_][{_signs}]+[^\W\d_]+)(?:[{_signs}]+[^\W\d_]+)*"
+    rf"|(?<![\w{_signs}])(?:[{_signs}]{{1,2}}|(?=\d*[@$!|+€]\d*[@$!|+€])[{_signs.replace(re.escape(MASK), '')}]{{3,4}})(?:[^\W\d_]{{2,}}|[^\W\d_][{_signs}]+[^\W\d_]+)(?:[{_signs}]+[^\W\d_]+)*"
     r"|([^\W\d_])\1{2,}"
 )
-_apart = re.compile(r"[ .\-_*]")
+_apart = re.compile(r"[^\W_](?:[ .\-_*][^\W_]){3,}")
+#: In letters set apart: three or more equal ones, a letter, or a separator.
+_single = re.compile(r"([^\W_])(?:[ .\-_*]\1){2,}|[^\W_]|[ .\-_*]")
+_same = re.compile(r"(.)\1*", re.S)
+_letters = re.compile(r"[^\W\d_]*")
+_letter = re.compile(r"[^\W\d_]")
 _punctuation = bytes.maketrans(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", b" " * 32)
 
 BITS = 22
@@ -114,20 +117,34 @@ def _options(sign: str, run: int) -> list[tuple[str, float]]:
     return out
 
 
+def lattice(stretch: str) -> Iterator[list[tuple[str, float]]]:
+    """The options of each step. A separator between single letters is a gap or nothing:
+    a channel that sets all letters apart puts one there in either case."""
+    if _apart.fullmatch(stretch):
+        for part in _single.finditer(stretch):
+            if part.group(1):
+                yield _options(part.group(1), (len(part.group()) + 1) // 2)
+            elif part.start() % 2:
+                yield [("", 0.0), (part.group(), 0.0)]
+            else:
+                yield _options(part.group(), 1)
+    else:
+        for run in _same.finditer(stretch):
+            yield _options(run.group(1), len(run.group()))
+
+
 def decode(stretch: str, model: np.ndarray) -> str:
-    """The most likely letters behind a stretch, by Viterbi over its lattice.
+    """The most likely letters behind a word or letters set apart, by Viterbi over its lattice.
 
-    A state is the last two letters. Ties fall to the option first in natural order.
+    A state is the last two letters; it begins after a gap and ends before one. Ties fall
+    to the option first in natural order.
     """
-    if re.fullmatch(r"[^\W_](?:[ .\-_*][^\W_])+", stretch):
-        stretch = _apart.sub("", stretch)
-    if len(stretch) > LONGEST:
-        return "".join(decode(stretch[k : k + LONGEST], model) for k in range(0, len(stretch), LONGEST))
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for run in re.finditer(r"(.)\1*", stretch, re.S):
-        after: dict[tuple[int, int], tuple[float, str]] = {}
+    # a path is a chain of its last letters and the path before them
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    for options in lattice(stretch):
+        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (cost, path) in states.items():
-            for letters, channel in _options(run.group(1), len(run.group())):
+            for letters, channel in options:
                 x, y, gained = a, b, cost + channel
                 for c in letters:
                     z = _code.get(c, 0)
@@ -135,9 +152,30 @@ def decode(stretch: str, model: np.ndarray) -> str:
                     x, y = y, z
                 old = after.get((x, y))
                 if old is None or gained > old[0]:
-                    after[(x, y)] = (gained, path + letters)
+                    after[(x, y)] = (gained, (letters, path))
         states = after
-    return max(((cost + float(model[a, b, 0]), path) for (a, b), (cost, path) in states.items()), key=lambda s: (s[0], s[1]))[1]
+    path = max(((cost + float(model[a, b, 0]), path) for (a, b), (cost, path) in states.items()), key=lambda s: s[0])[1]
+    found = []
+    while path:
+        letters, path = path
+        found.append(letters)
+    return "".join(reversed(found))
+
+
+def disguised(text: str) -> list[tuple[int, int]]:
+    """Spans that look disguised, widened to the letters on both sides; none overlap."""
+    spans: list[tuple[int, int]] = []
+    for m in _disguise.finditer(text):
+        start, end = m.span()
+        least = spans[-1][1] if spans else 0
+        while start > least and _letter.match(text, start - 1):
+            start -= 1
+        end = _letters.match(text, end).end()
+        if spans and start <= least:
+            spans[-1] = (spans[-1][0], max(least, end))
+        else:
+            spans.append((start, end))
+    return spans
 
 
 class Restorer:
@@ -147,7 +185,11 @@ class Restorer:
         self.decode = lru_cache(1 << 16)(lambda stretch: decode(stretch, model))
 
     def __call__(self, text: str | None) -> str:
-        return _disguise.sub(lambda m: self.decode(m.group()), (text or "").lower())
+        text, parts, at = (text or "").lower(), [], 0
+        for start, end in disguised(text):
+            parts += [text[at:start], self.decode(text[start:end])]
+            at = end
+        return "".join([*parts, text[at:]])
 
 
 def features(restored: str) -> np.ndarray:
