@@ -84,6 +84,40 @@ def test_spotsigs(documents):
         assert (got[i].near_edited, got[i].near_next) == (spotsigs.likeness(a, b), spotsigs.likeness(a, c))
 
 
+@pytest.mark.parametrize("threshold", [0.4, 0.8])
+def test_spotsigs_join(spark, threshold):
+    random = np.random.default_rng(8)
+    bare = [" ".join(random.choice(["the", "of", "a", *(f"w{i}" for i in range(400))], 60, p=[0.1] * 3 + [0.7 / 400] * 400)) for _ in range(25)]
+    texts = [*TEXTS, *bare]
+    for k, text in enumerate(bare):
+        words = text.split()
+        texts += [" ".join([*words[: 60 - k], "end"]), " ".join([*words, *words[:k]]), text]
+    rows = list(enumerate(texts))
+    sets = {i: spotsigs.spot_signatures(t, spotsigs.Spots()) for i, t in rows}
+    first = {}
+    for i, s in sets.items():
+        first.setdefault(s.tobytes(), i)
+    want = {(i, first[s.tobytes()]): 1.0 for i, s in sets.items() if first[s.tobytes()] != i}
+    heads = sorted(first.values())
+    for k, i in enumerate(heads):
+        for j in heads[:k]:
+            found = spotsigs.likeness(sets[i], sets[j])
+            if found >= threshold:
+                want[(i, j)] = found
+    assert sum(x < 1 for x in want.values()) > 10
+    docs = spark.createDataFrame([*rows, (None, bare[0])], "doc_id long, text string")
+    assert {(r.a, r.b): r.likeness for r in spotsigs.alike(docs, threshold).collect()} == want
+    assert spotsigs.alike(docs.limit(0), threshold).count() == 0
+
+
+def test_spotsigs_bounds_lose_no_pair():
+    for threshold in (0.5, 0.55, 0.7, 0.8, 0.9):
+        for size in range(1, 2000):
+            most = max(n for n in (int(size / threshold), int(size / threshold) + 1) if size / n >= threshold)
+            assert spotsigs.length_class(most, threshold) - spotsigs.length_class(size, threshold) <= 1
+            assert spotsigs.likeness(np.arange(size), np.arange(most), threshold) == size / most
+
+
 def measures(text):
     w = WORD.findall(text or "")
     lines = [x for x in (text or "").split("\n") if WORD.search(x)]

@@ -1,8 +1,10 @@
 """SpotSigs fingerprints: chains of content words that follow common-word anchors.
 
 A text's fingerprint is the set of its spot signatures. Two fingerprints are compared
-by the Jaccard likeness of their sets; sets whose lengths lie too far apart need no
-comparison, see :func:`length_class`.
+by the Jaccard likeness of their sets. :func:`alike` finds all near duplicates: sets are
+parted by :func:`length_class`, and only those in the same or neighbouring classes that
+share a rare signature are compared. :func:`fingerprinted` compares each text with its
+edited text and its successor alone.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trendlens.llm.common import distinct, mix, raw, word_hashes
+from trendlens.llm.common import distinct, mix, raw, stored, word_hashes
 
 # Common words of the languages that the corpus holds.
 ANCHORS = (
@@ -75,7 +77,8 @@ def parse(print_: str) -> np.ndarray:
 
 def length_class(size: int, threshold: float) -> int:
     """Sets of a likeness of ``threshold`` or more lie in the same or neighbouring classes."""
-    return -1 if size == 0 else int(math.log(size) / -math.log(threshold))
+    # classes a little wider than the threshold, so that rounding parts no pair
+    return -1 if size == 0 else int(math.log(size) / (-math.log(threshold) * (1 + 1e-9)))
 
 
 def likeness(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
@@ -83,7 +86,7 @@ def likeness(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
     if len(a) == 0 and len(b) == 0:
         return 1.0
     short, long = sorted((len(a), len(b)))
-    if short < least * long:
+    if short / long < least:
         return 0.0
     same = len(np.intersect1d(a, b, assume_unique=True))
     return same / (short + long - same)
@@ -148,6 +151,66 @@ def fingerprinted(docs: DataFrame, spots: Spots = Spots()) -> DataFrame:
     return dealt.mapInArrow(walk, COLUMNS)
 
 
+def spot_sets(docs: DataFrame, threshold: float, spots: Spots) -> DataFrame:
+    """(doc_id, set_key, n, length, spots) of the rows with an id."""
+    schema = pa.schema([("doc_id", pa.int64()), ("set_key", pa.binary()), ("n", pa.int64()), ("length", pa.int64()), ("spots", pa.list_(pa.int64()))])
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [spot_signatures(cell.as_py(), spots) for cell in batch.column(1)]
+            keys = [hashlib.sha256(s.tobytes()).digest() for s in sets]
+            lengths = [length_class(len(s), threshold) for s in sets]
+            columns = [batch.column(0), keys, [len(s) for s in sets], lengths, [s.astype(np.int64) for s in sets]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    rows = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id IS NOT NULL")
+    return rows.mapInArrow(sign, "doc_id long, set_key binary, n long, length long, spots array<long>")
+
+
+def alike(docs: DataFrame, threshold: float = 0.8, spots: Spots = Spots()) -> DataFrame:
+    """(a, b, likeness), a > b: the near duplicates at ``threshold`` or more, below 1.
+
+    Equal sets are one class, which its smallest id stands for: its other members are
+    paired with that id at likeness 1, and the classes' ids are paired with each other.
+    No other pair is left out: sets that are alike share one of their rarest signatures,
+    n - ceil(threshold * n) + 1 of n, and lie in the same or neighbouring length classes.
+    Texts without a spot form one class. Rows of one id are compared with other ids only;
+    a pair of ids has its largest likeness. Rows without id are left out.
+    """
+    if not 0 < threshold < 1:
+        raise ValueError("threshold must lie between 0 and 1")
+    sets = stored(spot_sets(docs, threshold, spots), "spots")
+    classes = sets.groupBy("set_key").agg(F.min("doc_id").alias("class_id"), F.first("n").alias("n"), F.first("length").alias("length"), F.first("spots").alias("spots"))
+    classes = stored(classes, "classes")
+    equal = sets.join(classes.select("set_key", "class_id"), "set_key").filter("doc_id <> class_id").select(F.col("doc_id").alias("a"), F.col("class_id").alias("b"), F.lit(1.0).alias("likeness"))
+
+    cells = classes.select("set_key", "n", "length", F.explode("spots").alias("spot"))
+    rare = cells.groupBy("spot").agg(F.count("*").alias("sets")).filter("sets > 1")
+    # a signature of one set only is rarer than all shared ones: it takes up prefix, but meets nothing
+    shared = cells.join(rare, "spot")
+    alone = F.col("n") - F.count("*").over(Window.partitionBy("set_key"))
+    place = alone + F.row_number().over(Window.partitionBy("set_key").orderBy("sets", "spot"))
+    least = F.ceil(F.lit(float(threshold)) * F.col("n") - F.lit(1e-6))
+    heads = stored(shared.withColumn("place", place).filter(F.col("place") <= F.col("n") - least + 1).select("spot", "set_key", "n", "length"), "heads")
+    x = heads.select("spot", "length", F.col("set_key").alias("x"), F.col("n").alias("x_n"))
+    y = heads.select("spot", F.col("length").alias("own"), F.col("set_key").alias("y"), F.col("n").alias("y_n"), F.explode(F.array("length", F.col("length") - 1)).alias("length"))
+    near = (F.col("own") > F.col("length")) | (F.col("x") < F.col("y"))
+    sizes = F.least("x_n", "y_n") >= F.lit(float(threshold)) * F.greatest("x_n", "y_n") - F.lit(1e-6)
+    pairs = x.join(y, ["spot", "length"]).filter(near & sizes).select("x", "y").distinct()
+    both = pairs.join(classes.select(F.col("set_key").alias("x"), F.col("class_id").alias("x_id"), F.col("spots").alias("x_spots")), "x").join(
+        classes.select(F.col("set_key").alias("y"), F.col("class_id").alias("y_id"), F.col("spots").alias("y_spots")), "y"
+    )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [likeness(one.values.to_numpy(), other.values.to_numpy(), threshold) for one, other in zip(batch.column(2), batch.column(3), strict=True)]
+            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["a", "b", "likeness"])
+            yield out.filter(pa.array([f >= threshold for f in found], pa.bool_()))
+
+    both = both.filter("x_id <> y_id").select(F.greatest("x_id", "y_id").alias("a"), F.least("x_id", "y_id").alias("b"), "x_spots", "y_spots")
+    return both.mapInArrow(compare, "a long, b long, likeness double").union(equal).groupBy("a", "b").agg(F.max("likeness").alias("likeness"))
+
+
 def packed(rows: list[tuple]) -> pa.RecordBatch:
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
     names = [x.split()[0] for x in COLUMNS.split(", ")]
