@@ -225,6 +225,14 @@ def test_class_prior_of_a_cut_sample(spark, documents):
     assert abs(math.log(score / (1 - score)) - math.log(odds)) < 0.7
 
 
+def test_document_frequencies_of_all_training_rows(documents):
+    how = language.Languages(per_class=3)
+    texts = [r.text for r in documents.collect() if r.text and r.lang and (r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % how.parts != how.held)]
+    frequency = Counter(b for t in texts for b in language.ngrams(t)[0].tolist())
+    want = [math.log((1 + len(texts)) / (1 + frequency[b])) + 1 for b in range(1 << language.BITS)]
+    assert np.allclose(language.fitted(documents, how)["idf"], want)
+
+
 def test_empty_tables(odd, labels):
     none = odd.limit(0)
     assert minhash.components_of(none, minhash.Linking()).count() == 0

@@ -28,7 +28,8 @@ _factors = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35], np.uint32)
 @dataclass(frozen=True)
 class Languages:
     """At most ``per_class`` documents of each language are learned from; a tenth of them
-    sets the temperature. Documents whose crc32 modulo ``parts`` is ``held`` are not."""
+    sets the temperature. All training documents count for the document frequencies.
+    Documents whose crc32 modulo ``parts`` is ``held`` are not."""
 
     per_class: int = 900
     parts: int = 5
@@ -60,8 +61,30 @@ def weighed(where: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarra
     return values / (np.sqrt(values @ values) or 1.0)
 
 
+def frequencies(rows: DataFrame) -> tuple[int, np.ndarray]:
+    """How many rows there are, and in how many of them each bucket occurs.
+
+    Each task sends one row a bucket; the sums of all are what reaches the driver.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((1 << BITS) + 1, np.int64)
+        for batch in batches:
+            total[-1] += batch.num_rows
+            for cell in batch.column(0):
+                total[ngrams(cell.as_py())[0]] += 1
+        where = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"bucket": where, "n": total[where]})
+
+    total = np.zeros((1 << BITS) + 1, np.int64)
+    for r in rows.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        total[r.bucket] = r.n
+    return int(total[-1]), total[:-1]
+
+
 def fitted(docs: DataFrame, how: Languages) -> dict:
-    """Names, weights and temperature; the sample's counts are all that reaches the driver."""
+    """Names, weights and temperature; the sample's counts and a sum for each bucket are
+    all that reaches the driver."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.filter((F.length("text") > 0) & F.col("lang").isNotNull() & (fold("doc_id", how.parts) != how.held))
     ids = F.broadcast(first_of_each(rows.select("doc_id", "lang"), "lang", how.per_class).distinct())
@@ -78,10 +101,8 @@ def fitted(docs: DataFrame, how: Languages) -> dict:
     found = sorted(found.groupBy("doc_id", "lang").agg(F.min("cells").alias("cells")).collect(), key=lambda r: (r.lang, r.doc_id))
     names = sorted({r.lang for r in found})
     sparse = [tuple(np.frombuffer(r.cells, "<u2").reshape(2, -1).astype(np.int64)) for r in found]
-    frequency = np.zeros(1 << BITS)
-    for where, _ in sparse:
-        frequency[where] += 1
-    idf = np.log((1 + len(sparse)) / (1 + frequency)) + 1
+    n, frequency = frequencies(rows)
+    idf = np.log((1 + n) / (1 + frequency)) + 1
     inputs = [(where, weighed(where, counts, idf)) for where, counts in sparse]
     classes = np.array([names.index(r.lang) for r in found], np.int64)
     check = np.arange(len(inputs)) % 10 == 9
