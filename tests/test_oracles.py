@@ -22,7 +22,7 @@ def duck():
 
 
 def text(value):
-    if value is None or value is pd.NaT or value != value:
+    if value is None or value is pd.NaT or value is pd.NA or value != value:
         return None
     return repr(float(value)) if isinstance(value, (int, float)) else str(value)
 
