@@ -7,6 +7,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,6 +128,34 @@ def word_hashes(data: bytes) -> np.ndarray:
     return word_spans(data)[0]
 
 
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string())}
+
+
+def arrow_schema(columns: str) -> pa.Schema:
+    """The Arrow schema of columns given as "name type, name type"."""
+    return pa.schema([(name, _ARROW[kind]) for name, kind in (c.split(" ", 1) for c in columns.split(", "))])
+
+
+def batched(rows: Iterator[tuple[tuple, int]], columns: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows, each with its size in bytes, as batches of about ``most`` bytes or 2048 rows."""
+    schema = arrow_schema(columns)
+    held: list[tuple] = []
+    size = 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), schema.types, strict=True)], schema=schema)
+
+    for row, n in rows:
+        held.append(row)
+        size += n
+        if size >= most or len(held) == 2048:
+            yield batch()
+            held.clear()
+            size = 0
+    if held:
+        yield batch()
+
+
 def crc_fold(doc_id: int | None, parts: int) -> int:
     """:func:`fold` for one id."""
     return 0 if doc_id is None else zlib.crc32(str(doc_id).encode()) % parts

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlens.llm import chat, language, minhash, ngrams, packing, quality, rules, segment, spotsigs, toxicity
+from trendlens.llm import chat, infill, language, minhash, ngrams, packing, quality, rules, segment, spotsigs, toxicity
 from trendlens.llm.common import read
 
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
@@ -57,4 +57,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_minhash, op3_spotsigs, op4_packing, op5_quality, op6_ngrams, op7_rules, op8_segment, op9_chat, op10_toxicity)}
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(infill.filled(infill.framed(read(spark, sf_dir, "documents"))))
+
+
+QUERIES = {f.__name__: f for f in (op1_language, op2_minhash, op3_spotsigs, op4_packing, op5_quality, op6_ngrams, op7_rules, op8_segment, op9_chat, op10_toxicity, op11_infill)}

@@ -1,3 +1,27 @@
 """DuckDB SQL for the rows of the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+OP11 = """
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+    FROM documents
+), numbers AS (
+    SELECT *, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+    FROM drawn
+), formed AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+        CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+             WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM numbers
+), parts AS (
+    SELECT *, substring(text, 1, a) AS head, substring(text, a + 1, b - a) AS mid, substring(text, b + 1, n - b) AS tail FROM formed
+)
+SELECT doc_id, n, form,
+    CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || head || '<S>' || tail || '<M>' || mid
+                     ELSE '<S>' || tail || '<P>' || head || '<M>' || mid END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts
+"""
+
+ORACLES: dict[str, str] = {"op11_infill": OP11}
