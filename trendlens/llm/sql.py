@@ -24,4 +24,30 @@ SELECT doc_id, n, form,
 FROM parts
 """
 
-ORACLES: dict[str, str] = {"op11_infill": OP11}
+OP13 = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), starts AS (
+    SELECT item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS s FROM items WHERE len(words) > 0
+), windows AS (
+    SELECT DISTINCT item_id, least(len(words), 10) AS size, array_to_string(words[s:s + 9], ' ') AS win FROM starts
+), places AS (
+    SELECT r, words, size, unnest(range(1, len(words) - size + 2)) AS p
+    FROM texts, (SELECT DISTINCT size FROM windows) WHERE len(words) >= size
+), seen AS (
+    SELECT r, p, size, item_id FROM (SELECT r, p, size, array_to_string(words[p:p + size - 1], ' ') AS win FROM places) JOIN windows USING (size, win)
+), hits AS (
+    SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(p, p + size)) AS place FROM seen) GROUP BY r
+), named AS (
+    SELECT r, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+    FROM (SELECT DISTINCT r, coalesce(item_id::VARCHAR, '') AS name FROM seen) GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
+"""
+
+ORACLES: dict[str, str] = {"op11_infill": OP11, "op13_leaks": OP13}
