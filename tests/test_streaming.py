@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from trendlens.operators import model
 from trendlens.plans import frames
 from trendlens.sources import messages
-from trendlens.streaming import scoring, serving, sinks
+from trendlens.streaming import scoring, serving, sinks, versions
 
 
 @pytest.fixture(scope="module")
@@ -63,7 +63,7 @@ def test_stream_equals_batch_and_survives_replay(spark, fitted, tmp_path):
         job.awaitTermination()
 
     run()
-    stored = spark.read.parquet(f"{root}/{sinks.REALTIME}")
+    stored = versions.frame(spark, root, sinks.REALTIME)
     every = [f"v{i}" for i in range(30)]
     assert sorted(r[0] for r in stored.select("video_id").collect()) == sorted(every)
     assert stored.select("batch_id").distinct().count() == 3
@@ -76,19 +76,19 @@ def test_stream_equals_batch_and_survives_replay(spark, fitted, tmp_path):
     assert stored.filter("video_id = 'v10'").first()["predicted_views"] == 0
 
     run()  # nothing new: the checkpoint remembers
-    assert spark.read.parquet(f"{root}/{sinks.REALTIME}").count() == 30
+    assert versions.frame(spark, root, sinks.REALTIME).count() == 30
 
     # the same batch once more, as after a lost commit
     again = messages.decode(text).filter("int(substring(video_id, 2)) >= 20")
     scoring.process_batch(again, 2, fitted, root, str(tmp_path / "offsets"))
-    stored = spark.read.parquet(f"{root}/{sinks.REALTIME}")
+    stored = versions.frame(spark, root, sinks.REALTIME)
     assert sorted(r[0] for r in stored.select("video_id").collect()) == sorted(every)
 
-    stats = spark.read.parquet(f"{root}/{sinks.CATEGORY_STATS}")
+    stats = versions.frame(spark, root, sinks.CATEGORY_STATS)
     assert stats.filter("categoryId IS NULL").isEmpty()
     assert stats.agg(F.sum("view_count_count")).first()[0] == 29
 
-    top = serving.top_predictions(spark.read.parquet(f"{root}/{sinks.PREDICTIONS}")).collect()
+    top = serving.top_predictions(versions.frame(spark, root, sinks.PREDICTIONS)).collect()
     assert len(top) == 10 and {r["batch_id"] for r in top} == {2}
     fallback = [r for r in top if r["title"] == "Unknown"]
     assert len(fallback) == 1 and fallback[0]["categoryId"] == 24
@@ -96,9 +96,9 @@ def test_stream_equals_batch_and_survives_replay(spark, fitted, tmp_path):
     assert serving.latest_category_stats(stats).count() == stats.count()
 
     sinks.reset_outputs(spark, root)
-    assert spark.read.parquet(f"{root}/{sinks.REALTIME}").count() == 0
-    assert spark.read.parquet(f"{root}/{sinks.PREDICTIONS}").columns[0] == "video_id"
-    assert spark.read.parquet(f"{root}/{sinks.CATEGORY_STATS}").count() == stats.count()
+    assert versions.frame(spark, root, sinks.REALTIME).count() == 0
+    assert versions.frame(spark, root, sinks.PREDICTIONS).columns[0] == "video_id"
+    assert versions.frame(spark, root, sinks.CATEGORY_STATS).count() == stats.count()
 
 
 def test_batch_reports(spark):
@@ -120,29 +120,6 @@ def test_messages_round_trip(spark, tmp_path):
     assert (back["video_id"], back["tags"], back["title"]) == ("a", 'q"|"z', "đã lưu")
 
 
-def test_merge_history_rewrites_touched_months_only(spark, tmp_path):
-    path = str(tmp_path / "history")
-    schema = "video_id string, trending_date string, n int, snapshot_month string"
-    old = [("a", "2024-01-01", 1, "2024-01"), ("a", "2024-02-01", 2, "2024-02")]
-    sinks.write_clean(spark.createDataFrame(old, schema), path, ["snapshot_month"])
-    january = {p.name for p in (tmp_path / "history" / "snapshot_month=2024-01").iterdir()}
-    new = [
-        ("a", "2024-02-01", 9, "2024-02"),
-        ("b", "2024-02-01", 3, "2024-02"),
-        ("b", "2024-03-01", 4, "2024-03"),
-    ]
-    sinks.merge_history(spark, spark.createDataFrame(new, schema), path)
-    got = {(r["video_id"], r["trending_date"], r["n"]) for r in spark.read.parquet(path).collect()}
-    assert got == {
-        ("a", "2024-01-01", 1),
-        ("a", "2024-02-01", 9),
-        ("b", "2024-02-01", 3),
-        ("b", "2024-03-01", 4),
-    }
-    after = {p.name for p in (tmp_path / "history" / "snapshot_month=2024-01").iterdir()}
-    assert after == january
-
-
 def test_partitioned_write_makes_few_files(spark, small, tmp_path):
     obs = frames.observations(spark, small).repartition(8)
     year = F.year("trending_date").alias("y")
@@ -159,18 +136,9 @@ def test_new_checkpoint_keeps_stored_batches(spark, fitted, tmp_path):
         write_files(tmp_path / name, [[message(100 * k + 10 * b + i) for i in range(10)] for b in range(2 - k)])
         stream = messages.read_message_files(spark, str(tmp_path / name), per_trigger=1)
         scoring.start(stream, fitted, root, str(tmp_path / f"offsets-{name}"), available_now=True).awaitTermination()
-    stored = spark.read.parquet(f"{root}/{sinks.REALTIME}")
+    stored = versions.frame(spark, root, sinks.REALTIME)
     assert sorted(int(r[0][1:]) for r in stored.select("video_id").collect()) == [*range(20), *range(100, 110)]
-    top = serving.top_predictions(spark.read.parquet(f"{root}/{sinks.PREDICTIONS}"), 100).collect()
+    top = serving.top_predictions(versions.frame(spark, root, sinks.PREDICTIONS), 100).collect()
     assert {(r["run_id"], r["batch_id"]) for r in top} == {(top[0]["run_id"], 0)}
     runs = dict(stored.select("video_id", "run_id").collect())
     assert top[0]["run_id"] == runs["v100"] != runs["v0"]
-
-
-def test_merge_history_keeps_rows_without_month(spark, tmp_path):
-    path = str(tmp_path / "history")
-    schema = "video_id string, trending_date string, n int, snapshot_month string"
-    old = [("a", "2024-01-01", 1, "2024-01"), ("x", None, 2, None)]
-    sinks.write_clean(spark.createDataFrame(old, schema), path, ["snapshot_month"])
-    sinks.merge_history(spark, spark.createDataFrame([("b", None, 3, None)], schema), path)
-    assert {(r["video_id"], r["n"]) for r in spark.read.parquet(path).collect()} == {("a", 1), ("x", 2), ("b", 3)}

@@ -116,8 +116,31 @@ _UPSERT = f"""SELECT {KEY}, trending_date, view_count FROM (
   FROM (SELECT *, 1 AS age FROM ({_OLD}) UNION ALL SELECT *, 0 AS age FROM ({_NEW})))
   WHERE rk = 1"""
 
-_PREDICTIONS = """SELECT video_id, title, categoryId, view_count * 2.0::DOUBLE AS predicted_views,
-  view_count FROM entity ORDER BY predicted_views DESC, video_id LIMIT 10"""
+# The rows of the four micro-batches, with a model whose predicted views are the views plus one.
+_BATCHES = """, msgs AS (
+  SELECT CAST(l_linenumber % 4 AS BIGINT) AS batch_id,
+    TIMESTAMP '2024-05-01 10:00:00' + to_minutes(CAST(l_linenumber % 4 * 690 AS BIGINT)) AS stamp,
+    video_id, title, channelTitle, categoryId, view_count, view_count + 1 AS predicted_views,
+    (likes + comment_count) / (view_count + 1) * 100 AS engagement_rate,
+    CASE WHEN trending_date <> 'bad-date' THEN strptime(trending_date, '%Y-%m-%dT%H:%M:%SZ') END
+      AS trending_date FROM raw)
+"""
+_BATCH_STATS = """SELECT batch_id, stamp AS "timestamp", categoryId, count(view_count) AS view_count_count,
+  CAST(sum(view_count) AS BIGINT) AS view_count_sum,
+  CAST(round(avg(view_count)::VARCHAR::DECIMAL(38, 12), 2) AS DOUBLE) AS view_count_mean,
+  CAST(round(avg(engagement_rate)::VARCHAR::DECIMAL(38, 12), 2) AS DOUBLE) AS engagement_rate_mean
+  FROM msgs GROUP BY ALL"""
+_PREDICTIONS = _BATCHES + """SELECT {cols} FROM msgs WHERE batch_id = 3
+  ORDER BY predicted_views DESC, video_id LIMIT {n}"""
+
+
+def _top_videos(name: str, width: int) -> str:
+    return f"""SELECT batch_id, stamp AS "timestamp", '{name}' AS best_by,
+    row_number() OVER (PARTITION BY batch_id ORDER BY view_count DESC, video_id) AS rank,
+    video_id, substr(title, 1, {width}) || '...' AS title, channelTitle, view_count, predicted_views,
+    round((predicted_views - view_count) / nullif(view_count, 0)::DOUBLE * 100, 6) AS growth_pct
+    FROM msgs QUALIFY rank <= 3"""
+
 
 
 def _per_category(measures: str, source: str) -> str:
@@ -230,12 +253,16 @@ BODIES = {
       CASE WHEN tags = '[none]' THEN 1 ELSE 2 END AS n_tags FROM obs""",
     "k03_upsert_keep_last": _UPSERT,
     "k04_publish_messages": _MESSAGES,
-    "k05_append_scored_batch": """SELECT CAST(b AS BIGINT) AS batch_id, count(*) AS rows,
-      CAST(sum(view_count) AS BIGINT) AS views
-      FROM obs, (VALUES (0), (1)) batches(b) GROUP BY b""",
-    "k06_append_category_stats": """SELECT stats.*, CAST(b AS BIGINT) AS batch_id
-      FROM stats, (VALUES (0), (1)) batches(b)""",
-    "k07_replace_predictions": _PREDICTIONS,
+    "k03_merge_history": f"SELECT *, strftime(trending_date, '%Y-%m') AS snapshot_month FROM ({_UPSERT})",
+    "k05_append_scored_batch": _BATCHES + """SELECT batch_id, stamp AS processing_timestamp,
+      categoryId, count(*) AS rows, count(trending_date) AS dated,
+      CAST(sum(view_count) AS BIGINT) AS views, round(avg(engagement_rate), 6) AS rate,
+      CAST(sum(predicted_views) AS BIGINT) AS predicted FROM msgs GROUP BY ALL""",
+    "k06_append_category_stats": _BATCHES + _BATCH_STATS,
+    "k07_replace_predictions": _PREDICTIONS.format(
+        cols="""video_id, title, categoryId, predicted_views, view_count, stamp AS "timestamp", batch_id""",
+        n=10,
+    ),
     "k08_reset_outputs": """SELECT 'realtime_data' AS output, CAST(0 AS BIGINT) AS rows UNION ALL
       SELECT 'category_stats', count(*) FROM stats UNION ALL SELECT 'predictions', 0""",
     "p01_drop_columns": "SELECT * EXCLUDE (tags, likes) FROM raw",
@@ -543,13 +570,21 @@ BODIES = {
       FROM raw GROUP BY 1""",
     "st03_stream_category_stats": """SELECT categoryId, count(*) AS rows,
       CAST(sum(view_count) AS BIGINT) AS views FROM raw GROUP BY 1""",
-    "r01_latest_observations": """SELECT trending_date AS processing_timestamp, video_id FROM obs
-      ORDER BY obs.trending_date DESC NULLS LAST, video_id LIMIT 100""",
-    "r02_top_predictions": _PREDICTIONS,
-    "r03_latest_category_stats": """SELECT stamp AS "timestamp", categoryId, view_count_count,
-      view_count_sum FROM stats, (VALUES (TIMESTAMP '2024-05-01 10:00:00'),
-        (TIMESTAMP '2024-05-01 10:00:30')) stamps(stamp)
-      ORDER BY stamp DESC, categoryId LIMIT 20""",
+    "st03_batch_totals": _BATCHES + """SELECT batch_id, stamp AS "timestamp", count(*) AS videos,
+      CAST(sum(view_count) AS BIGINT) AS total_views,
+      round(avg(engagement_rate), 6) AS avg_engagement_rate FROM msgs GROUP BY ALL""",
+    "st03_top_videos": _BATCHES + _top_videos("viewed", 50) + " UNION ALL " + _top_videos("predicted", 40),
+    "st04_restart": _BATCHES + """SELECT categoryId, count(*) AS rows,
+      CAST(sum(view_count) AS BIGINT) AS views, CAST(sum(predicted_views) AS BIGINT) AS predicted
+      FROM msgs GROUP BY 1""",
+    "r01_latest_observations": _BATCHES + """SELECT stamp AS processing_timestamp, video_id,
+      trending_date FROM msgs ORDER BY stamp DESC, video_id, msgs.trending_date NULLS FIRST LIMIT 100""",
+    "r02_top_predictions": _PREDICTIONS.format(
+        cols="video_id, title, categoryId, predicted_views, view_count", n=5
+    ),
+    "r03_latest_category_stats": _BATCHES + """SELECT stamp AS "timestamp", categoryId,
+      count(view_count) AS view_count_count, CAST(sum(view_count) AS BIGINT) AS view_count_sum
+      FROM msgs GROUP BY ALL ORDER BY stamp DESC, categoryId LIMIT 20""",
 }
 
 ORACLES = {name: INPUTS + body for name, body in BODIES.items()}

@@ -24,7 +24,7 @@ from trendlens.schema import FEATURES, ISO_FORMAT, LABEL
 from trendlens.session import scratch_path
 from trendlens.sources import files, messages, star
 from trendlens.sources.listing import flatten_listing
-from trendlens.streaming import scoring, serving, sinks
+from trendlens.streaming import scoring, serving, sinks, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,11 +103,6 @@ def s04(spark, d):
     return flat.drop("channelId", "thumbnail_link")
 
 
-def _message_rows(spark, d) -> DataFrame:
-    rows = frames.raw_file_rows(spark, d)
-    return rows.withColumn("kafka_timestamp", F.lit("2024-05-01T10:20:30.250000"))
-
-
 MESSAGE_COLUMNS = (
     "video_id",
     "title",
@@ -124,7 +119,7 @@ MESSAGE_COLUMNS = (
 
 @query("s05_decode_messages")
 def s05(spark, d):
-    decoded = messages.decode(sinks.as_messages(_message_rows(spark, d)))
+    decoded = messages.decode(sinks.as_messages(frames.message_rows(spark, d)))
     return decoded.select(*MESSAGE_COLUMNS)
 
 
@@ -174,20 +169,32 @@ def k03(spark, d):
 @query("k04_publish_messages")
 def k04(spark, d):
     path = scratch_path(spark, "messages")
-    sinks.publish_files(_message_rows(spark, d), path)
+    sinks.publish_files(frames.message_rows(spark, d), path)
     return messages.decode(spark.read.text(path)).select(*MESSAGE_COLUMNS)
 
 
+@query("k03_merge_history")
+def k03_merge(spark, d):
+    """A stored history after the load of :func:`_history`; months neither reads nor touches stay."""
+    path = scratch_path(spark, "history")
+    old, new = _history(spark, d)
+    month = F.date_format("trending_date", "yyyy-MM")
+    sinks.write_history(old.withColumn("snapshot_month", month), path)
+    sinks.merge_history(spark, new.withColumn("snapshot_month", month), path, latest=_latest())
+    return sinks.read_history(spark, path)
+
+
 @query("k05_append_scored_batch")
 def k05(spark, d):
-    path = scratch_path(spark, sinks.REALTIME)
-    batch = model.with_features(frames.observations(spark, d))
-    for batch_id in (0, 1, 1):  # the second one is replayed
-        sinks.write_batch(batch, path, batch_id)
-    stored = spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
-    return stored.groupBy("batch_id").agg(
-        F.count("*").alias("rows"), F.sum("view_count").alias("views")
+    stored = versions.frame(spark, frames.scored_tables(spark, d), sinks.REALTIME)
+    sums = stored.groupBy("batch_id", "processing_timestamp", "categoryId").agg(
+        F.count("*").alias("rows"),
+        F.count("trending_date").alias("dated"),
+        F.sum("view_count").alias("views"),
+        F.avg("engagement_rate").alias("rate"),
+        F.sum(F.round("predicted_views").cast("bigint")).alias("predicted"),
     )
+    return rounded(sums, "rate")
 
 
 def _stats(spark, d) -> DataFrame:
@@ -197,37 +204,26 @@ def _stats(spark, d) -> DataFrame:
 
 @query("k06_append_category_stats")
 def k06(spark, d):
-    path = scratch_path(spark, sinks.CATEGORY_STATS)
-    for batch_id in (0, 1):
-        sinks.write_batch(_stats(spark, d), path, batch_id)
-    stored = spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
-    return rounded(stored.drop("run_id"), "view_count_mean", "engagement_rate_mean")
+    return versions.frame(spark, frames.scored_tables(spark, d), sinks.CATEGORY_STATS).drop("run_id")
 
 
-def _predictions(spark, d) -> str:
-    """Two snapshots; views stand in for the prediction, so the result is known."""
-    path = scratch_path(spark, sinks.PREDICTIONS)
-    for batch_id, factor in ((0, 3.0), (1, 2.0)):
-        predicted = F.col("view_count") * F.lit(factor)
-        scored = frames.entity(spark, d).withColumn("predicted_views", predicted)
-        sinks.write_batch(scoring.prediction_rows(scored), path, batch_id)
-    return path
+def _known(df: DataFrame) -> DataFrame:
+    return df.withColumn("predicted_views", F.round("predicted_views").cast("bigint"))
 
 
 @query("k07_replace_predictions")
 def k07(spark, d):
-    return sinks.latest_batch(spark.read.parquet(_predictions(spark, d))).drop("run_id", "batch_id")
+    return _known(versions.frame(spark, frames.scored_tables(spark, d), sinks.PREDICTIONS)).drop("run_id")
 
 
 @query("k08_reset_outputs")
 def k08(spark, d):
     root = scratch_path(spark, "outputs")
-    for name in (sinks.REALTIME, sinks.CATEGORY_STATS, sinks.PREDICTIONS):
-        sinks.write_clean(_stats(spark, d), f"{root}/{name}")
+    scoring.process_batch(frames.observations(spark, d), 0, frames.known_model(), root)
     sinks.reset_outputs(spark, root)
 
     def left(name: str) -> DataFrame:
-        rows = spark.read.parquet(f"{root}/{name}").agg(F.count("*").alias("rows"))
+        rows = versions.frame(spark, root, name).agg(F.count("*").alias("rows"))
         return rows.select(F.lit(name).alias("output"), "rows")
 
     return left(sinks.REALTIME).union(left(sinks.CATEGORY_STATS)).union(left(sinks.PREDICTIONS))
@@ -856,7 +852,7 @@ def _stream(spark, d) -> str:
     """The whole table as a message stream through the scoring job, in two or more
     micro-batches; output folder."""
     root = scratch_path(spark, "stream")
-    sinks.publish_files(_message_rows(spark, d).repartition(8), f"{root}/in")
+    sinks.publish_files(frames.message_rows(spark, d).repartition(8), f"{root}/in")
     stream = messages.read_message_files(spark, f"{root}/in", per_trigger=4)
     job = scoring.start(
         stream, frames.model(spark, d)[0], root, f"{root}/offsets", available_now=True
@@ -868,7 +864,7 @@ def _stream(spark, d) -> str:
 @query("st01_st04_scored_stream")
 def st01(spark, d):
     """Every message is stored once, whatever the micro-batches were."""
-    stored = spark.read.parquet(f"{_stream(spark, d)}/{sinks.REALTIME}")
+    stored = versions.frame(spark, _stream(spark, d), sinks.REALTIME)
     return rounded(
         stored.groupBy("categoryId").agg(
             F.count("*").alias("rows"),
@@ -882,33 +878,52 @@ def st01(spark, d):
 
 @query("st03_stream_category_stats")
 def st03(spark, d):
-    stored = spark.read.parquet(f"{_stream(spark, d)}/{sinks.CATEGORY_STATS}")
+    stored = versions.frame(spark, _stream(spark, d), sinks.CATEGORY_STATS)
     return stored.groupBy("categoryId").agg(
         F.sum("view_count_count").alias("rows"), F.sum("view_count_sum").alias("views")
     )
 
 
+@query("st03_batch_totals")
+def st03_totals(spark, d):
+    totals = versions.frame(spark, frames.scored_tables(spark, d), sinks.TOTALS)
+    return rounded(totals.drop("run_id"), "avg_engagement_rate")
+
+
+@query("st03_top_videos")
+def st03_top(spark, d):
+    top = _known(versions.frame(spark, frames.scored_tables(spark, d), sinks.TOP_VIDEOS))
+    named = top.drop("run_id").withColumnRenamed("list", "best_by").withColumn("rank", F.col("rank").cast("bigint"))
+    return rounded(named, "growth_pct")
+
+
+@query("st04_restart")
+def st04(spark, d):
+    """A stream that stops after its first messages and goes on from its checkpoint: each
+    message is there once, and a batch of an earlier run that comes again adds nothing."""
+    root = scratch_path(spark, "stream")
+    for part in (0, 1):
+        sinks.publish_files(frames.message_rows(spark, d, f"l_linenumber % 2 = {part}").repartition(4), f"{root}/in")
+        stream = messages.read_message_files(spark, f"{root}/in", per_trigger=3)
+        scoring.start(stream, frames.known_model(), root, f"{root}/offsets", available_now=True).awaitTermination()
+    again = messages.decode(sinks.as_messages(frames.message_rows(spark, d)))
+    scoring.process_batch(again, 0, frames.known_model(), root, f"{root}/offsets")
+    stored = versions.frame(spark, root, sinks.REALTIME)
+    return stored.groupBy("categoryId").agg(F.count("*").alias("rows"), F.sum("view_count").alias("views"), F.sum(F.round("predicted_views").cast("bigint")).alias("predicted"))
+
+
 @query("r01_latest_observations")
 def r01(spark, d):
-    path = scratch_path(spark, sinks.REALTIME)
-    stamped = frames.observations(spark, d).withColumn(
-        "processing_timestamp", F.col("trending_date")
-    )
-    sinks.write_batch(stamped, path, 0)
-    latest = serving.latest_observations(spark.read.parquet(path))
-    return latest.select("processing_timestamp", "video_id")
+    latest = serving.read_observations(spark, frames.scored_tables(spark, d))
+    return latest.select("processing_timestamp", "video_id", "trending_date")
 
 
 @query("r02_top_predictions")
 def r02(spark, d):
-    return serving.top_predictions(spark.read.parquet(_predictions(spark, d))).drop("run_id", "batch_id")
+    return _known(serving.read_predictions(spark, frames.scored_tables(spark, d), 5)).drop("run_id", "batch_id", "timestamp")
 
 
 @query("r03_latest_category_stats")
 def r03(spark, d):
-    path = scratch_path(spark, sinks.CATEGORY_STATS)
-    for batch_id, second in ((0, "00"), (1, "30")):
-        stamp = F.lit(f"2024-05-01 10:00:{second}").cast("timestamp_ntz")
-        sinks.write_batch(_stats(spark, d).withColumn("timestamp", stamp), path, batch_id)
-    latest = serving.latest_category_stats(spark.read.parquet(path))
+    latest = serving.read_category_stats(spark, frames.scored_tables(spark, d))
     return latest.select("timestamp", "categoryId", "view_count_count", "view_count_sum")

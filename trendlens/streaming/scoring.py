@@ -2,10 +2,9 @@
 
 import json
 from datetime import UTC, datetime
-from functools import partial
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -83,38 +82,66 @@ def run_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
-def process_batch(
-    batch: DataFrame, batch_id: int, model: PipelineModel, root: str, checkpoint: str | None = None
-) -> None:
-    """Scores one micro-batch of decoded messages and stores the three outputs.
+#: The lists of a batch: by which column, and the length a title is cut to.
+LISTS = {"viewed": ("view_count", 50), "predicted": ("predicted_views", 40)}
+
+
+def top_videos(scored: DataFrame, n: int = 3) -> DataFrame:
+    """Both top lists of a batch in one table: ``list``, ``rank`` and what the lists show."""
+    best = None
+    for name, (metric, width) in LISTS.items():
+        rows = top_n(scored, metric, n, tie=("video_id", "view_count")).select(
+            F.lit(name).alias("list"),
+            F.col(metric).cast("double").alias("_by"),
+            "video_id",
+            ellipsize(F.col("title"), width, always=True).alias("title"),
+            "channelTitle",
+            "view_count",
+            "predicted_views",
+            growth_percent(F.col("predicted_views"), F.col("view_count")).alias("growth_pct"),
+        )
+        best = rows if best is None else best.unionByName(rows)
+    place = F.row_number().over(Window.partitionBy("list").orderBy(F.col("_by").desc_nulls_last(), "video_id", "view_count"))
+    return best.withColumn("rank", place).drop("_by")
 
-    All rows carry one time, and the run that ``checkpoint`` belongs to.
 
-    The scored batch feeds three writes, so it is kept once in memory or on disk; a
+def outputs(scored: DataFrame) -> dict[str, DataFrame]:
+    """What a scored batch adds to each table; the time column of a table goes by :data:`STAMPS`."""
+    return {
+        sinks.REALTIME: scored,
+        sinks.CATEGORY_STATS: batch_category_stats(scored),
+        sinks.PREDICTIONS: prediction_rows(scored),
+        sinks.TOTALS: batch_totals(scored),
+        sinks.TOP_VIDEOS: top_videos(scored),
+    }
+
+
+def process_batch(
+    batch: DataFrame,
+    batch_id: int,
+    model: PipelineModel,
+    root: str,
+    checkpoint: str | None = None,
+    now: datetime | None = None,
+) -> bool:
+    """Scores one micro-batch of decoded messages and adds it to the output tables, see
+    :func:`outputs`, in one commit. False where this batch was committed before.
+
+    Rows carry one time (``now``, else the clock) and the run that ``checkpoint`` belongs
+    to. Until the commit nobody sees a row; a batch that failed half-way leaves
+    folders that no version names, and runs again under a time of its own. A batch
+    that is replayed after its commit has its rows and time already.
+
+    The scored batch feeds all writes, so it is kept once in memory or on disk; a
     lost block is computed again from the source offsets.
     """
+    spark = batch.sparkSession
+    run = run_id(spark, checkpoint) if checkpoint else "run"
+    if sinks.committed(spark, root, run) >= batch_id:
+        return False
     scored = without_nan(score(batch, model)).persist()
-    now = F.lit(f"{datetime.now(UTC):%Y-%m-%d %H:%M:%S.%f}").cast("timestamp_ntz")
-    run = run_id(batch.sparkSession, checkpoint) if checkpoint else "run"
     try:
-        sinks.write_batch(
-            scored.withColumn("processing_timestamp", now),
-            f"{root}/{sinks.REALTIME}",
-            batch_id,
-            run,
-        )
-        sinks.write_batch(
-            batch_category_stats(scored).withColumn("timestamp", now),
-            f"{root}/{sinks.CATEGORY_STATS}",
-            batch_id,
-            run,
-        )
-        sinks.write_batch(
-            prediction_rows(scored).withColumn("timestamp", now),
-            f"{root}/{sinks.PREDICTIONS}",
-            batch_id,
-            run,
-        )
+        return sinks.commit_batch(spark, outputs(scored), root, run, batch_id, now or datetime.now(UTC))
     finally:
         scored.unpersist()
 
@@ -127,9 +154,13 @@ def start(
     available_now: bool = False,
 ) -> StreamingQuery:
     """Runs the job over a stream of JSON messages; offsets live in ``checkpoint``."""
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        process_batch(batch, batch_id, model, root, checkpoint)
+
     writer = (
         decode(messages)
-        .writeStream.foreachBatch(partial(process_batch, model=model, root=root, checkpoint=checkpoint))
+        .writeStream.foreachBatch(one_batch)
         .option("checkpointLocation", checkpoint)
     )
     if available_now:

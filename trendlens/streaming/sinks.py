@@ -1,11 +1,11 @@
 """Output tables and messages.
 
-A stream table is Parquet, partitioned by ``batch_id``. A batch replaces its own
-partition, so a batch that runs twice after a lost executor or a restart leaves its
-rows once.
+The stream's tables and the history change in versions, see ``versions``: all tables of
+a micro-batch in one commit, the months of a load in one.
 """
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from trendlens.functions.text import to_message
 from trendlens.operators.clean import times_as_text
 from trendlens.operators.dedup import upsert_keep_last
+from trendlens.streaming import versions
 
 BATCH = "batch_id"
 #: Which run of a stream wrote a batch: batch ids begin at 0 again with every checkpoint.
@@ -20,6 +21,13 @@ RUN = "run_id"
 REALTIME = "realtime_data"
 CATEGORY_STATS = "category_stats"
 PREDICTIONS = "predictions"
+TOTALS = "batch_totals"
+TOP_VIDEOS = "top_videos"
+#: Name of the column with a batch's time.
+STAMPS = {REALTIME: "processing_timestamp", CATEGORY_STATS: "timestamp", PREDICTIONS: "timestamp", TOTALS: "timestamp", TOP_VIDEOS: "timestamp"}
+#: Tables of which a batch replaces all rows; it adds to the others.
+REPLACED = (PREDICTIONS,)
+HISTORY = "history"
 # What a reset empties; the category history stays.
 RESET = (REALTIME, PREDICTIONS)
 
@@ -72,6 +80,50 @@ def latest_batch(df: DataFrame) -> DataFrame:
     return df.filter((F.col(RUN) == which[RUN]) & (F.col(BATCH) == which[BATCH]))
 
 
+def committed(spark: SparkSession, root: str, run: str) -> int:
+    """The last batch of a run that is in the tables, or -1."""
+    return versions.current(spark, root)["notes"].get(run, -1)
+
+
+def commit_batch(spark: SparkSession, outputs: Mapping[str, DataFrame], root: str, run: str, batch_id: int, now: datetime) -> bool:
+    """Adds a batch to its tables in one version; False if it was there already.
+
+    A run's batches commit in the order of their ids, as a stream runs them. Rows lie in
+    a folder for each day, whose time the manifest tells, so reads of the newest rows
+    open few folders.
+    """
+    stamp = f"{now:%Y-%m-%d %H:%M:%S.%f}"
+    written = {}
+    for table, rows in outputs.items():
+        stamped = rows.withColumns({STAMPS[table]: F.lit(stamp).cast("timestamp_ntz"), RUN: F.lit(run), BATCH: F.lit(batch_id).cast("bigint")})
+        schema, parts = versions.write(stamped, root, table, fixed=[("day", stamp[:10])])
+        written[table] = schema, [p | {"newest": stamp, "oldest": stamp} for p in parts]
+    added = False
+
+    def edit(state: dict) -> dict | None:
+        nonlocal added
+        added = state["notes"].get(run, -1) < batch_id
+        if not added:
+            return None
+        for table, (schema, parts) in written.items():
+            versions.add(state, table, schema, parts, (lambda p: True) if table in REPLACED else None)
+        state["notes"][run] = batch_id
+        return state
+
+    versions.change(spark, root, edit)
+    return added
+
+
+def write_history(df: DataFrame, path: str, partition: str = "snapshot_month") -> None:
+    """A history of its own, by snapshot month; it replaces what was there."""
+    schema, parts = versions.write(df, path, HISTORY, by=[partition])
+    versions.change(df.sparkSession, path, lambda state: versions.add(state, HISTORY, schema, parts, lambda p: True))
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    return versions.frame(spark, path, HISTORY)
+
+
 def merge_history(
     spark: SparkSession,
     new: DataFrame,
@@ -79,26 +131,40 @@ def merge_history(
     keys: Iterable[str] = ("video_id", "trending_date"),
     partition: str = "snapshot_month",
     latest=(),
-) -> None:
-    """Upserts new observations into a history partitioned by snapshot month.
-
-    Only months that occur in ``new`` are rewritten, so a daily load does not touch
-    the rest of the history; rows without a month are a month of their own.
-    ``partition`` must follow from the keys. Spark moves the new files in once all are
-    written; a driver lost during that move can leave a month to be loaded again.
+    attempts: int = 10,
+) -> int:
+    """Upserts new observations into a history partitioned by snapshot month; its version.
+
+    Only the folders of months that occur in ``new`` are read and written anew, rows
+    without a month being a month of their own. ``partition`` must follow from the
+    keys. Readers see the old version until the new manifest is there, also if the job
+    is lost before. If another load committed meanwhile, the merge runs again on its
+    version where that changed a month of this load.
     """
     keys = list(keys)
-    old = spark.read.parquet(path)
-    months = new.select(F.col(partition).alias("_month")).distinct()
-    touched = old.join(months, F.col(partition).eqNullSafe(F.col("_month")), "left_semi")
-    merged = upsert_keep_last(touched, new.select(*old.columns), keys, latest)
-    (
-        _rebalanced(merged, [partition])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    # as many values as months in the load, not rows
+    months = {r[0] for r in new.select(F.col(partition).cast("string")).distinct().collect()}
+    for _ in range(attempts):
+        state = versions.current(spark, path)
+        if HISTORY not in state["tables"]:
+            state = versions.change(spark, path, lambda state: None if HISTORY in state["tables"] else versions.add(state, HISTORY, new.schema.json(), []))
+        touched = [p for p in state["tables"][HISTORY]["parts"] if p["values"][partition] in months]
+        old = versions.frame(spark, path, HISTORY, state, touched)
+        merged = upsert_keep_last(old, new.select(*old.columns), keys, latest)
+        _, parts = versions.write(merged.select(*old.columns), path, HISTORY, by=[partition])
+        gone = {p["folder"] for p in touched}
+        lost = False
+
+        def edit(state: dict, gone=gone, parts=parts) -> dict | None:
+            nonlocal lost
+            held = state["tables"][HISTORY]
+            lost = gone != {p["folder"] for p in held["parts"] if p["values"][partition] in months}
+            return None if lost else versions.add(state, HISTORY, held["schema"], parts, lambda p: p["folder"] in gone)
+
+        state = versions.change(spark, path, edit)
+        if not lost:
+            return state["version"]
+    raise versions.Taken(f"other loads changed the months of this one {attempts} times")
 
 
 def as_messages(df: DataFrame) -> DataFrame:
@@ -126,7 +192,10 @@ def publish_files(df: DataFrame, path: str) -> None:
 
 def reset_outputs(spark: SparkSession, root: str, names: Iterable[str] = RESET) -> None:
     """Empties output tables, keeping their schema."""
-    for name in names:
-        path = f"{root}/{name}"
-        schema = spark.read.parquet(path).schema
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+
+    def edit(state: dict) -> dict:
+        for name in set(names) & set(state["tables"]):
+            state["tables"][name]["parts"] = []
+        return state
+
+    versions.change(spark, root, edit)
