@@ -94,7 +94,7 @@ def hour_by_weekday(obs: DataFrame, published: str = "publishedAt") -> DataFrame
         .groupBy("publish_hour")
         .pivot("_day", list(range(7)))
         .agg(F.count(F.lit(1)))
-        .na.fill(0)
+        .na.fill(0, [str(i) for i in range(7)])
         .select(
             "publish_hour", *[F.col(str(i)).alias(d) for i, d in enumerate(WEEKDAYS)]
         )

@@ -1,11 +1,11 @@
-"""The four jobs end to end: clean, report, train, stream.
+"""The jobs end to end: load, clean, report, train, stream.
 
 Each one joins operators to a source and a sink; every decision is in the operators.
 """
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,10 +17,13 @@ from trendlens.operators import (
     engagement,
     enrich,
     model,
+    partials,
+    quality,
     timing,
     topn,
 )
 from trendlens.sources.files import read_clean, read_observations
+from trendlens.sources.listing import flatten_listing
 from trendlens.streaming import scoring, sinks
 
 KEYS = ("video_id", "trending_date")
@@ -34,6 +37,23 @@ def run_cleaning(spark: SparkSession, raw_path, clean_path: str, tags_path: str)
     sinks.write_clean(clean.with_tag_list(read_clean(spark, clean_path)), tags_path)
 
 
+def run_load(spark: SparkSession, payloads: DataFrame, json_col: str, snapshot: Column, path: str) -> int:
+    """A day's listing payloads into the history and its monthly states, in one version.
+
+    Flattened and cleaned like raw files; a video seen twice at one time is kept once, the
+    load's row before a stored one. Running a load again changes nothing but the
+    version.
+    """
+    rows = clean.clean(flatten_listing(payloads, json_col, snapshot))
+    month = F.date_format("trending_date", "yyyy-MM")
+    return sinks.merge_history(spark, rows.withColumn("snapshot_month", month), path, KEYS, derived=partials.states())
+
+
+def history_reports(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The reports over all that :func:`run_load` has stored, from the monthly states."""
+    return partials.reports({name: sinks.read_history(spark, path, name) for name in partials.states()})
+
+
 def reports(obs: DataFrame, tie: Sequence[str] = ("trending_date",)) -> dict[str, DataFrame]:
     """Every report over a clean table, lazily; persist the views to run many."""
     rows = clean.cast_metrics(obs)
@@ -53,6 +73,9 @@ def reports(obs: DataFrame, tie: Sequence[str] = ("trending_date",)) -> dict[str
         )
     }
     return {
+        "date_range": category.date_range(rows),
+        "profile": quality.profile(rows),
+        "validity": quality.validity_counts(rows),
         "categories": category.categories(rows),
         "category_shares": category.shares(rows),
         "total_views": category.total_views(entity),
@@ -63,7 +86,11 @@ def reports(obs: DataFrame, tie: Sequence[str] = ("trending_date",)) -> dict[str
         "best_videos": category.best_videos(entity),
         "category_summary": category.summary(rows, entity),
         "publish_hours": timing.per_publish_hour(rows),
+        "peak_hour": timing.extremes(timing.per_publish_hour(rows), "publish_hour"),
         "publish_days": timing.per_weekday(rows, "publishedAt", "publish_day"),
+        "peak_day": timing.weekday_extremes(timing.per_weekday(rows, "publishedAt", "publish_day"), "publish_day"),
+        "busiest_cell": timing.busiest_cell(rows),
+        "top10_views": topn.top_n(category.with_category_name(entity), "view_count_num", 10, ("title", "category_name", "channelTitle", "view_count_num")),
         "trending_days": timing.per_weekday(rows, "trending_date", "trending_day"),
         "time_to_trend": timing.time_to_trend(first),
         "days_distribution": timing.days_distribution(first),

@@ -242,6 +242,9 @@ BODIES = {
       CASE WHEN l_linenumber = 2 THEN 0 ELSE comment_count END AS comment_count,
       l_linenumber = 2 AS comments_disabled, false AS ratings_disabled, description
       FROM obs""",
+    "s04_daily_load": """SELECT strftime(trending_date, '%Y-%m') AS snapshot_month, count(*) AS rows,
+      count(DISTINCT video_id) AS videos, max(trending_date) AS newest, max(views) AS most_views
+      FROM (SELECT video_id, trending_date, max(view_count) AS views FROM obs GROUP BY 1, 2) GROUP BY 1""",
     "s05_decode_messages": _MESSAGES,
     "k01_text_export": """SELECT video_id, title,
       strftime(publishedAt, '%Y-%m-%d %H:%M:%S') AS publishedAt,
@@ -587,4 +590,29 @@ BODIES = {
       FROM msgs GROUP BY ALL ORDER BY stamp DESC, categoryId LIMIT 20""",
 }
 
+# Observations after three loads, as an upsert keeps them.
+_LOADED = """obs AS (
+  SELECT * EXCLUDE (age, rk) FROM (
+    SELECT *, row_number() OVER (PARTITION BY video_id, trending_date
+      ORDER BY age DESC, view_count DESC, l_orderkey DESC, l_linenumber DESC, l_suppkey DESC) AS rk
+    FROM (
+      SELECT *, 1 AS age FROM first_obs WHERE l_linenumber <> 3 UNION ALL
+      SELECT * REPLACE (view_count + 7 AS view_count, likes * 2 AS likes), 2 FROM first_obs
+        WHERE year(trending_date) <= 1994 AND l_linenumber IN (2, 3) UNION ALL
+      SELECT * REPLACE (view_count // 2 AS view_count, 10 AS categoryId, 'moved' AS channelTitle), 3
+        FROM first_obs WHERE year(trending_date) = 1996 AND l_linenumber = 5))
+  WHERE rk = 1),
+named AS ("""
+LOADED = INPUTS.replace("obs AS (", "first_obs AS (", 1).replace("named AS (", _LOADED, 1)
+RECOMPUTED = ("a02_category_counts", "a03_category_shares", "a04_total_views_by_category",
+              "a05_unique_channels", "a06_average_metrics", "a07_channel_concentration",
+              "a08_like_dislike_ratio", "a09_publish_hours", "a10_publish_days", "a10_trending_days",
+              "a12_time_to_trend", "a13_days_distribution", "a14_same_day", "a15_hour_by_weekday",
+              "a16_engagement_bands", "a17_time_to_trend_by_category", "a18_metrics_by_publish_hour",
+              "a19_trending_lifespan", "a20_rates_by_category", "a21_engagement_totals")
+
 ORACLES = {name: INPUTS + body for name, body in BODIES.items()}
+ORACLES |= {f"{name}_incremental": LOADED + BODIES[name] for name in RECOMPUTED}
+ORACLES["a05_estimated_channels"] = LOADED + _per_category(
+    "count(DISTINCT channelTitle) AS unique_channels, true AS near", "named"
+)

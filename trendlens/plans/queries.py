@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlens.functions import rates, text, times
@@ -14,11 +14,12 @@ from trendlens.operators import (
     engagement,
     enrich,
     model,
+    partials,
     quality,
     timing,
     topn,
 )
-from trendlens.plans import frames
+from trendlens.plans import frames, jobs
 from trendlens.plans.frames import ROW_KEY, rounded
 from trendlens.schema import FEATURES, ISO_FORMAT, LABEL
 from trendlens.session import scratch_path
@@ -75,9 +76,8 @@ def s03(spark, d):
     return _written_csv(spark, d, compression="gzip")
 
 
-@query("s04_flatten_listing")
-def s04(spark, d):
-    obs = frames.observations(spark, d)
+def _payloads(obs: DataFrame) -> DataFrame:
+    """Each observation as the listing it would come from."""
     item = F.struct(
         F.col("video_id").alias("id"),
         F.struct(
@@ -97,10 +97,28 @@ def s04(spark, d):
         ).alias("statistics"),
     )
     payload = F.to_json(F.struct(F.array(item).alias("items"))).alias("payload")
-    flat = flatten_listing(
-        obs.select("trending_date", payload), "payload", F.col("trending_date")
+    return obs.select("trending_date", payload)
+
+
+@query("s04_flatten_listing")
+def s04(spark, d):
+    payloads = _payloads(frames.observations(spark, d))
+    return flatten_listing(payloads, "payload", F.col("trending_date")).drop("channelId", "thumbnail_link")
+
+
+@query("s04_daily_load")
+def s04_load(spark, d):
+    """Two loads of listings into the history: the days before 1995, then the others with
+    the days of 1994 once more. Which of a video's equal times is kept is fixed by all
+    columns, so the counts of rows, videos and known times tell all loads apart."""
+    path = scratch_path(spark, "history")
+    obs = frames.observations(spark, d)
+    for part in ("year(trending_date) < 1995", "year(trending_date) >= 1994"):
+        jobs.run_load(spark, _payloads(obs.filter(part)), "payload", F.col("trending_date"), path)
+    rows = sinks.read_history(spark, path)
+    return rows.groupBy("snapshot_month").agg(
+        F.count("*").alias("rows"), F.count_distinct("video_id").alias("videos"), F.max("trending_date").alias("newest"), F.max("view_count").alias("most_views")
     )
-    return flat.drop("channelId", "thumbnail_link")
 
 
 MESSAGE_COLUMNS = (
@@ -156,14 +174,10 @@ def _history(spark, d) -> tuple[DataFrame, DataFrame]:
     return old, new
 
 
-def _latest() -> list[Column]:
-    return [F.desc(c) for c in ("view_count", "l_orderkey", "l_linenumber", "l_suppkey")]
-
-
 @query("k03_upsert_keep_last")
 def k03(spark, d):
     old, new = _history(spark, d)
-    return dedup.upsert_keep_last(old, new, latest=_latest())
+    return dedup.upsert_keep_last(old, new, latest=frames.latest_row())
 
 
 @query("k04_publish_messages")
@@ -180,7 +194,7 @@ def k03_merge(spark, d):
     old, new = _history(spark, d)
     month = F.date_format("trending_date", "yyyy-MM")
     sinks.write_history(old.withColumn("snapshot_month", month), path)
-    sinks.merge_history(spark, new.withColumn("snapshot_month", month), path, latest=_latest())
+    sinks.merge_history(spark, new.withColumn("snapshot_month", month), path, latest=frames.latest_row())
     return sinks.read_history(spark, path)
 
 
@@ -461,6 +475,46 @@ over(
     lambda df: rounded(timing.lifespan(df), "avg_trending_lifespan"),
 )
 
+# --- the same reports from the states of a history after three loads ---------------
+
+#: Name of the query over all observations, and what is rounded in it.
+INCREMENTAL = {
+    "category_counts": ("a02_category_counts",),
+    "category_shares": ("a03_category_shares",),
+    "total_views": ("a04_total_views_by_category",),
+    "unique_channels": ("a05_unique_channels",),
+    "average_metrics": ("a06_average_metrics", "avg_likes", "avg_dislikes", "avg_comments", "avg_views"),
+    "channel_concentration": ("a07_channel_concentration",),
+    "like_dislike_ratio": ("a08_like_dislike_ratio",),
+    "publish_hours": ("a09_publish_hours",),
+    "publish_days": ("a10_publish_days",),
+    "trending_days": ("a10_trending_days",),
+    "time_to_trend": ("a12_time_to_trend", "avg_days"),
+    "days_distribution": ("a13_days_distribution",),
+    "same_day": ("a14_same_day",),
+    "hour_by_weekday": ("a15_hour_by_weekday",),
+    "engagement_bands": ("a16_engagement_bands",),
+    "time_to_trend_per_category": ("a17_time_to_trend_by_category", "avg_days_to_trend"),
+    "metrics_per_publish_hour": ("a18_metrics_by_publish_hour", "avg_views", "avg_likes", "avg_comments"),
+    "lifespan": ("a19_trending_lifespan", "avg_trending_lifespan"),
+    "rates_per_category": ("a20_rates_by_category", *["avg_" + r for r in RATES]),
+    "engagement_totals": ("a21_engagement_totals", "avg_engagement_rate"),
+}
+for _report, (_name, *_means) in INCREMENTAL.items():
+    QUERIES[f"{_name}_incremental"] = lambda spark, d, r=_report, m=_means: rounded(frames.incremental(spark, d, r), *m)
+
+
+@query("a05_estimated_channels")
+def a05_estimated(spark, d):
+    """Channels of each category from the stored sketches: within 5 % (three standard errors) of
+    the count, which stands beside."""
+    path = frames.loaded_history(spark, d)
+    exact = frames.incremental(spark, d, "unique_channels")
+    estimate = partials.estimated_channels(sinks.read_history(spark, path, "sketches")).select("categoryId", F.col("unique_channels").alias("estimate"))
+    near = F.abs(F.col("estimate") - F.col("unique_channels")) <= F.greatest(F.lit(1), 0.05 * F.col("unique_channels"))
+    return exact.join(estimate, exact["categoryId"].eqNullSafe(estimate["categoryId"])).select(exact["categoryId"], "category_name", "unique_channels", near.alias("near"))
+
+
 # --- engagement reports -----------------------------------------------------------
 
 over(frames.rated, "a16_engagement_bands", engagement.bands)

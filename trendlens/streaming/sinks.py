@@ -4,7 +4,7 @@ The stream's tables and the history change in versions, see ``versions``: all ta
 a micro-batch in one commit, the months of a load in one.
 """
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -120,8 +120,9 @@ def write_history(df: DataFrame, path: str, partition: str = "snapshot_month") -
     versions.change(df.sparkSession, path, lambda state: versions.add(state, HISTORY, schema, parts, lambda p: True))
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return versions.frame(spark, path, HISTORY)
+def read_history(spark: SparkSession, path: str, table: str = HISTORY) -> DataFrame:
+    """The history, or a table that loads derive from it."""
+    return versions.frame(spark, path, table)
 
 
 def merge_history(
@@ -131,35 +132,50 @@ def merge_history(
     keys: Iterable[str] = ("video_id", "trending_date"),
     partition: str = "snapshot_month",
     latest=(),
+    derived: Mapping[str, Callable[[DataFrame, str], DataFrame]] | None = None,
     attempts: int = 10,
 ) -> int:
     """Upserts new observations into a history partitioned by snapshot month; its version.
 
     Only the folders of months that occur in ``new`` are read and written anew, rows
     without a month being a month of their own. ``partition`` must follow from the
-    keys. Readers see the old version until the new manifest is there, also if the job
+    keys. ``derived`` makes further tables from the merged rows of these months, which
+    keep the column ``partition``; they change in the same version. Give the same ones
+    with every load.
+
+    Readers see the old version until the new manifest is there, also if the job
     is lost before. If another load committed meanwhile, the merge runs again on its
     version where that changed a month of this load.
     """
-    keys = list(keys)
+    keys, derived = list(keys), dict(derived or {})
     # as many values as months in the load, not rows
     months = {r[0] for r in new.select(F.col(partition).cast("string")).distinct().collect()}
+
+    def folders(state: dict, table: str) -> list[dict]:
+        held = state["tables"].get(table, {"parts": []})
+        return [p for p in held["parts"] if p["values"][partition] in months]
+
     for _ in range(attempts):
         state = versions.current(spark, path)
-        if HISTORY not in state["tables"]:
-            state = versions.change(spark, path, lambda state: None if HISTORY in state["tables"] else versions.add(state, HISTORY, new.schema.json(), []))
-        touched = [p for p in state["tables"][HISTORY]["parts"] if p["values"][partition] in months]
-        old = versions.frame(spark, path, HISTORY, state, touched)
-        merged = upsert_keep_last(old, new.select(*old.columns), keys, latest)
-        _, parts = versions.write(merged.select(*old.columns), path, HISTORY, by=[partition])
+        touched = folders(state, HISTORY)
+        old = versions.frame(spark, path, HISTORY, state, touched) if HISTORY in state["tables"] else new.limit(0)
+        merged = upsert_keep_last(old, new.select(*old.columns), keys, latest).select(*old.columns)
+        written = {HISTORY: versions.write(merged, path, HISTORY, by=[partition])}
+        fresh = {"tables": {HISTORY: dict(zip(("schema", "parts"), written[HISTORY], strict=True))}}
+        for table, derive in derived.items():
+            rows = versions.frame(spark, path, HISTORY, fresh)
+            written[table] = versions.write(derive(rows, partition), path, table, by=[partition])
         gone = {p["folder"] for p in touched}
         lost = False
 
-        def edit(state: dict, gone=gone, parts=parts) -> dict | None:
+        def edit(state: dict, gone=gone, written=written) -> dict | None:
             nonlocal lost
-            held = state["tables"][HISTORY]
-            lost = gone != {p["folder"] for p in held["parts"] if p["values"][partition] in months}
-            return None if lost else versions.add(state, HISTORY, held["schema"], parts, lambda p: p["folder"] in gone)
+            lost = gone != {p["folder"] for p in folders(state, HISTORY)}
+            if lost:
+                return None
+            for table, (schema, parts) in written.items():
+                versions.add(state, table, schema, parts, lambda p: p["values"][partition] in months)
+            return state
 
         state = versions.change(spark, path, edit)
         if not lost:
