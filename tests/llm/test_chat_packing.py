@@ -94,3 +94,53 @@ def test_every_id_in_one_piece(spark):
         filled.append(sum(p[1] for p in parts))
     assert max(filled) <= 128 and sum(filled) > 0.75 * 128 * (len(filled) - 1)
     assert packing.packed(df.limit(0), packing.Packing(path)).count() == 0
+
+
+def _whole_text(tokens, text):
+    return tokens.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_of_stretches_are_those_of_the_text():
+    import random
+
+    words = packing.Words(public_tokenizers.path("word_bpe_49k.json"), most=400, longest=12)
+    draw = random.Random(8)
+    signs = [*"abcAB éÉßİıſ'sStre\t\n\x0b\x0c\r   ́̈漢字…\"!?.<|>0９½ﬁ\U0001F600Σσς\x1c\x85　", "<|endoftext|>", " ' s", "don't", "end..", "İ%%%", "x<|endoftext|>", "é%%%", "a.b."]
+    texts = ["".join(draw.choice(signs) for _ in range(draw.randrange(40))) for _ in range(3000)]
+    texts += ["", "word " * 60_000, "y" * 3000, "Long-" * 70_000 + " tail"]
+    for text, ids in zip(texts, words(texts, group=500), strict=True):
+        assert ids.tolist() == _whole_text(words.tokens, text), text[:80]
+    assert len(words.known) <= 400
+
+
+def test_cuts_over_buffers_are_those_of_the_whole_stream():
+    import random
+
+    draw = random.Random(2)
+    for size in (10, 64):
+        for _ in range(60):
+            places = np.cumsum([draw.randrange(1, size // 2) for _ in range(draw.randrange(1, 300))])
+            fees = np.array([draw.choice([0, 1, 3, 9]) for _ in places])
+            whole = packing.cuts(places, fees, size)
+            cutter, ends, at = packing.Cutter(size), [], 0
+            while at < len(places):
+                n = draw.randrange(1, 60)
+                cutter.add(places[at : at + n].tolist(), fees[at : at + n].tolist())
+                at += n
+                if draw.random() < 0.7:
+                    ends += cutter.settled()
+                    assert len(cutter.at) < 40 * size
+            assert ends + cutter.finish() == whole
+
+
+def test_coarse_steps_cost_little(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [f"word{k % 7} other " * (30 + 37 * (k % 11)) for k in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+
+    def windows(how):
+        return packing.packed(df, how).select("sequence_id").distinct().count()
+
+    fine = windows(packing.Packing(path, size=256, step=1))
+    assert fine <= windows(packing.Packing(path, size=256, step=64)) <= 1.1 * fine
+    assert windows(packing.Packing(path, size=256, buffer=700)) == windows(packing.Packing(path, size=256, buffer=10**6))

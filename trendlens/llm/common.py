@@ -91,7 +91,7 @@ def _slab(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return mix((sums[ends] - sums[starts]) * inverse[starts]), starts, ends
 
 
-def _slabs(data: bytes) -> Iterator[tuple[int, bytes]]:
+def slabs(data: bytes) -> Iterator[tuple[int, bytes]]:
     """Places and stretches of about SLAB bytes that part no word."""
     at = 0
     while at < len(data):
@@ -104,7 +104,7 @@ def _slabs(data: bytes) -> Iterator[tuple[int, bytes]]:
 def word_prefixes(data: bytes, sizes: tuple[int, ...]) -> list[np.ndarray]:
     """Hashes of a text's words, then of the first bytes of the words longer than each size."""
     found: list[list[np.ndarray]] = [[np.empty(0, np.uint64)] for _ in range(len(sizes) + 1)]
-    for _, part in _slabs(data):
+    for _, part in slabs(data):
         sums, inverse, starts, ends = _spans(part)
         found[0].append(mix((sums[ends] - sums[starts]) * inverse[starts]))
         for k, size in enumerate(sizes):
@@ -118,7 +118,7 @@ def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if len(data) <= SLAB:
         return _slab(data)
     parts = []
-    for at, part in _slabs(data):
+    for at, part in slabs(data):
         h, s, e = _slab(part)
         parts.append((h, s + at, e + at))
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))

@@ -2,15 +2,18 @@
 
 The documents of a partition form one stream of ids. A window may end after a document
 (free), after a sentence or inside one (at a penalty). The cuts that minimise padding
-plus penalties are found with a monotone queue over the last ``size`` ids.
+plus penalties over the whole partition are found with a monotone queue over the last
+``size`` ids; a cut is written once no later id can change it.
 """
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,17 +21,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trendlens.llm.common import batched, slabs
+
 COLUMNS = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 SENTENCE_ENDS = (".</w>", "!</w>", "?</w>", "...</w>", ".\"</w>", "!!</w>")
-KINDS = [pa.int64()] * 7
 
 
 @dataclass(frozen=True)
 class Packing:
     """Windows of ``size`` ids; a cut after a sentence costs as much as ``sentence`` ids of
-    padding, one elsewhere as ``inside``, and is looked for every ``step`` ids.
+    padding, one elsewhere as ``inside``, and is looked for every ``step`` ids (1: at
+    every id).
 
-    ``buffer`` ids are cut at once, which bounds a task's memory.
+    Every ``buffer`` ids the cuts that are sure are written and their ids let go.
     """
 
     tokenizer: str
@@ -40,45 +45,189 @@ class Packing:
     buffer: int = 1 << 19
 
 
-def cuts(places: np.ndarray, penalties: np.ndarray, size: int) -> list[int]:
-    """Ends of the windows over a stream that ends at the last place.
+#: The tokenizer reads A-Z as a-z; doing so first makes fewer different words.
+_lower = bytes(c + 32 if 65 <= c < 91 else c for c in range(256))
+#: The marks of ASCII.
+MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+WORD_END = "</w>"
+
+
+def _plain(word: bytes) -> bool:
+    """Whether a word ends with a letter that stays one when read as a small one."""
+    end = word[-4:].decode("utf-8", "ignore")[-1:]
+    return end.isalpha() and len(end.lower()) == 1
+
 
-    ``places`` ascend, lie at most ``size`` apart and begin above 0. The last window is
-    not charged for padding. Among equal costs the earlier start wins.
+class Words:
+    """Ids of texts by a tokenizer that takes the stretches between white space one by one.
+
+    The tokenizer's pattern matches no white space and its normaliser changes nothing
+    across it, so a text's ids are those of its stretches. Ids of up to ``most`` stretches
+    of at most ``longest`` bytes are remembered; the others are worked out again.
     """
-    at = [0, *places.tolist()]
-    fee = [0, *penalties.tolist()]
-    cost, back = [0] * len(at), [0] * len(at)
-    queue = deque([0])
-    for j in range(1, len(at)):
-        while at[j] - at[queue[0]] > size:
-            queue.popleft()
-        i = queue[0]
-        last = j == len(at) - 1
-        if last:
-            i = min((k for k in range(j) if at[j] - at[k] <= size), key=cost.__getitem__)
-        cost[j] = cost[i] + (0 if last else size - (at[j] - at[i]) + fee[j])
-        back[j] = i
-        while queue and cost[queue[-1]] + at[queue[-1]] > cost[j] + at[j]:
-            queue.pop()
-        queue.append(j)
-    ends, j = [], len(at) - 1
-    while j:
-        ends.append(at[j])
-        j = back[j]
-    return ends[::-1]
-
-
-def candidates(docs: list[np.ndarray], how: Packing, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places in the joined stream where a window may end, and what that costs."""
+
+    def __init__(self, path: str, most: int = 3 << 18, longest: int = 64):
+        # a thread pool in every worker would take more cores than Spark gave it
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokens = Tokenizer.from_file(path)
+        self.most, self.longest = most, longest
+        self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokens.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for w, i in vocabulary.items() if w.endswith(WORD_END)]] = True
+
+    def _encode(self, words: list[bytes]) -> list[bytes]:
+        found = self.tokens.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in words], add_special_tokens=False)
+        return [np.array(f.ids, "<u4").tobytes() for f in found]
+
+    def _spelled(self, words: list[bytes]) -> list[bytes]:
+        """Words of letters alone, as one text: each ends with the id of a word's end."""
+        found = self.tokens.encode_batch_fast([b" ".join(words).decode("utf-8", "surrogatepass")], add_special_tokens=False)
+        ids = np.array(found[0].ids, "<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return self._encode(words)
+        data, at = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [data[i:j] for i, j in zip(at, at[1:], strict=False)]
+
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of new stretches. Marks after a letter are tokens of their own, so what is
+        before them and they are looked up one by one."""
+        parted, need = {}, set()
+        for w in words:
+            bare = w.rstrip(MARKS)
+            if 0 < len(bare) < len(w) and b"<|" not in w and _plain(bare):
+                parted[w] = bare, w[len(bare) :]
+                need.update(parted[w])
+            else:
+                need.add(w)
+        need = [w for w in need if w not in self.known]
+        letters = [w.decode("utf-8", "surrogatepass").isalpha() for w in need]
+        spelled = [w for w, alone in zip(need, letters, strict=True) if alone]
+        other = [w for w, alone in zip(need, letters, strict=True) if not alone]
+        new = dict(zip(spelled, self._spelled(spelled), strict=True)) if spelled else {}
+        if other:
+            new.update(zip(other, self._encode(other), strict=True))
+        ids = lambda w: new[w] if w in new else self.known[w]
+        return new | {w: ids(bare) + ids(marks) for w, (bare, marks) in parted.items()}
+
+    def _ids(self, pieces: list[bytes]) -> list[bytes]:
+        words = [p.split() for p in pieces]
+        found = [list(map(self.known.get, w)) for w in words]
+        missing = {w for part, ids in zip(words, found, strict=True) if None in ids for w, x in zip(part, ids, strict=True) if x is None}
+        if missing:
+            new = self._learn(missing)
+            found = [[new[w] if x is None else x for w, x in zip(part, ids, strict=True)] if None in ids else ids for part, ids in zip(words, found, strict=True)]
+            if len(self.known) + len(new) > self.most:
+                self.known.clear()
+            self.known.update(new if max(map(len, new)) <= self.longest else {w: x for w, x in new.items() if len(w) <= self.longest})
+        return [b"".join(ids) for ids in found]
+
+    def __call__(self, texts: Iterable[str | None], group: int = 1 << 18) -> Iterator[np.ndarray]:
+        """Ids of each text in turn; about ``group`` bytes are worked on at once."""
+        pieces: list[bytes] = []
+        held = 0
+        for text in texts:
+            data = (text or "").encode("utf-8", "surrogatepass").translate(_lower)
+            if len(data) > group:
+                yield from (np.frombuffer(ids, "<u4") for ids in self._ids(pieces))
+                pieces, held = [], 0
+                yield np.frombuffer(b"".join(self._ids([slab])[0] for _, slab in slabs(data)), "<u4")
+                continue
+            pieces.append(data)
+            held += len(data)
+            if held >= group:
+                yield from (np.frombuffer(ids, "<u4") for ids in self._ids(pieces))
+                pieces, held = [], 0
+        yield from (np.frombuffer(ids, "<u4") for ids in self._ids(pieces))
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Words:
+    return Words(path)
+
+
+class Cutter:
+    """The cheapest windows over a stream of places where one may end."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.at, self.cost, self.back = [0], [0], [0]
+        self.queue = deque([0])
+        self.last: tuple[int, int] | None = None
+
+    def add(self, places: list[int], fees: list[int]) -> None:
+        """Ascending places above 0, at most ``size`` apart, and what a cut there costs."""
+        if not places:
+            return
+        if self.last:
+            places, fees = [self.last[0], *places], [self.last[1], *fees]
+        # the last place may be the stream's end, which is charged otherwise
+        self.last = places[-1], fees[-1]
+        at, cost, back, queue, size = self.at, self.cost, self.back, self.queue, self.size
+        for place, fee in zip(places[:-1], fees[:-1], strict=True):
+            while place - at[queue[0]] > size:
+                queue.popleft()
+            i = queue[0]
+            c = cost[i] + size - (place - at[i]) + fee
+            while queue and cost[queue[-1]] + at[queue[-1]] > c + place:
+                queue.pop()
+            queue.append(len(at))
+            at.append(place)
+            cost.append(c)
+            back.append(i)
+
+    def _path(self, j: int) -> list[int]:
+        ends = []
+        while j:
+            ends.append(self.at[j])
+            j = self.back[j]
+        return ends[::-1]
+
+    def settled(self) -> list[int]:
+        """Ends that every open choice shares; they are forgotten here."""
+        alive = set(self.queue)
+        while len(alive) > 1:
+            j = max(alive)
+            alive.remove(j)
+            alive.add(self.back[j])
+        root = alive.pop()
+        ends = self._path(root)
+        self.at, self.cost = self.at[root:], self.cost[root:]
+        self.back = [max(b - root, 0) for b in self.back[root:]]
+        self.queue = deque(j - root for j in self.queue)
+        return ends
+
+    def finish(self) -> list[int]:
+        """The ends that are left. The last window is not charged for padding; among equal costs
+        the earlier start wins."""
+        if not self.last:
+            return []
+        place = self.last[0]
+        i = min((k for k in self.queue if place - self.at[k] <= self.size), key=self.cost.__getitem__)
+        return [*self._path(i), place]
+
+
+def cuts(places: np.ndarray, penalties: np.ndarray, size: int) -> list[int]:
+    """Ends of the windows over a stream that ends at the last place, see :class:`Cutter`."""
+    cutter = Cutter(size)
+    cutter.add(places.tolist(), penalties.tolist())
+    return cutter.finish()
+
+
+def candidates(docs: list[np.ndarray], how: Packing, stops: np.ndarray, begin: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the stream, whose ids from ``begin`` on are ``docs``, where a window may end, and
+    what that costs."""
     stream = np.concatenate(docs)
     fee = np.full(len(stream) + 1, -1, np.int64)
-    fee[np.arange(how.step, len(stream) + 1, how.step)] = how.inside
+    fee[np.arange(how.step - begin % how.step, len(stream) + 1, how.step)] = how.inside
     fee[np.flatnonzero(np.isin(stream, stops)) + 1] = how.sentence
     fee[np.cumsum([len(d) for d in docs])] = 0
     fee[0] = -1
     places = np.flatnonzero(fee >= 0)
-    return places, fee[places]
+    return places + begin, fee[places]
 
 
 def packed(docs: DataFrame, how: Packing) -> DataFrame:
@@ -87,58 +236,53 @@ def packed(docs: DataFrame, how: Packing) -> DataFrame:
     Every id lies in one piece; each document ends with the id ``end``, so a NULL or
     empty text is that id alone. Documents keep the order of their partition, and a
     partition's last window may be short. Rows of one id are packed one by one. Columns
-    other than doc_id and text are ignored; an empty table gives no row.
+    other than doc_id and text are ignored; an empty table gives no row. A document's ids
+    are held at once, so memory follows the longest text.
     """
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokens = Tokenizer.from_file(how.tokenizer)
-        vocabulary = tokens.get_vocab()
+        encode = encoder(how.tokenizer)
+        vocabulary = encode.tokens.get_vocab()
         stops = np.array([vocabulary[w] for w in SENTENCE_ENDS if w in vocabulary], np.uint32)
         context = TaskContext.get()
         number = (context.partitionId() if context else 0) << 40
+        cutter = Cutter(how.size)
         # (doc_id, ids, ids of the document before these, ids of the document)
-        waiting: list[tuple[int | None, np.ndarray, int, int]] = []
-        held = 0
+        waiting: deque[tuple[int | None, np.ndarray, int, int]] = deque()
+        begin = opened = 0  # stream places of the first waiting id and of the open window
 
-        def emit(final: bool) -> pa.RecordBatch:
-            nonlocal waiting, held, number
-            places, fees = candidates([w[1] for w in waiting], how, stops)
-            ends = cuts(places, fees, how.size)
-            if not final:
-                # the last windows could still change with what follows
-                ends = ends[:-1]
-            rows, rest, begin, k = [], [], 0, 0
-            for doc_id, ids, before, whole in waiting:
-                done = 0
-                while done < len(ids) and k < len(ends):
-                    start = ends[k - 1] if k else 0
-                    n = min(ends[k] - begin, len(ids)) - done
-                    part = ids[done : done + n]
-                    rows.append((doc_id, before + done, n, zlib.crc32(part.tobytes()), whole, number + k, begin + done - start))
-                    done += n
-                    if begin + done == ends[k]:
-                        k += 1
-                if done < len(ids):
-                    rest.append((doc_id, ids[done:].copy(), before + done, whole))
-                begin += len(ids)
-            number += len(ends)
-            waiting, held = rest, sum(len(r[1]) for r in rest)
-            columns = list(zip(*rows, strict=True)) or [()] * 7
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, KINDS, strict=True)], names=[c.split()[0] for c in COLUMNS.split(", ")])
-
-        for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                texts = ["" if t is None else t for t in part.column(1).to_pylist()]
-                for doc_id, found in zip(part.column(0).to_pylist(), tokens.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                    ids = np.array([*found.ids, how.end], "<u4")
+        def pieces(ends: list[int]) -> Iterator[tuple[tuple, int]]:
+            nonlocal begin, opened, number
+            for end in ends:
+                while begin < end:
+                    doc_id, ids, before, whole = waiting.popleft()
+                    n = min(end - begin, len(ids))
+                    yield (doc_id, before, n, zlib.crc32(ids[:n].tobytes()), whole, number, begin - opened), 56
+                    if n < len(ids):
+                        waiting.appendleft((doc_id, ids[n:], before + n, whole))
+                    begin += n
+                opened = end
+                number += 1
+
+        def rows() -> Iterator[tuple[tuple, int]]:
+            fresh: list[np.ndarray] = []
+            seen = held = 0
+            for batch in batches:
+                for doc_id, ids in zip(batch.column(0).to_pylist(), encode(text.as_py() for text in batch.column(1)), strict=True):
+                    ids = np.append(ids, np.uint32(how.end))
                     waiting.append((doc_id, ids, 0, len(ids)))
+                    fresh.append(ids)
                     held += len(ids)
                     if held >= how.buffer:
-                        yield emit(False)
-        if waiting:
-            yield emit(True)
+                        places, fees = candidates(fresh, how, stops, seen)
+                        cutter.add(places.tolist(), fees.tolist())
+                        seen, held, fresh = seen + held, 0, []
+                        yield from pieces(cutter.settled())
+            if fresh:
+                places, fees = candidates(fresh, how, stops, seen)
+                cutter.add(places.tolist(), fees.tolist())
+            yield from pieces(cutter.finish())
+
+        return batched(rows(), COLUMNS)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(walk, COLUMNS)
