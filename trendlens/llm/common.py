@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +33,28 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_written: list[list[str]] = []
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[list[str]]:
+    """Deletes the tables that :func:`stored` writes inside, at the end; a path taken out of the
+    list stays. For work whose results are written by then."""
+    _written.append(paths := [])
+    try:
+        yield paths
+    finally:
+        _written.remove(paths)
+        for path in paths:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again, which cuts its lineage."""
     path = scratch_path(df.sparkSession, name)
+    if _written:
+        _written[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -54,6 +55,8 @@ WORD_END = "</w>"
 
 def _plain(word: bytes) -> bool:
     """Whether a word ends with a letter that stays one when read as a small one."""
+    if word[-1] < 0x80:
+        return 97 <= word[-1] <= 122
     end = word[-4:].decode("utf-8", "ignore")[-1:]
     return end.isalpha() and len(end.lower()) == 1
 
@@ -62,8 +65,8 @@ class Words:
     """Ids of texts by a tokenizer that takes the stretches between white space one by one.
 
     The tokenizer's pattern matches no white space and its normaliser changes nothing
-    across it, so a text's ids are those of its stretches. Ids of up to ``most`` stretches
-    of at most ``longest`` bytes are remembered; the others are worked out again.
+    across it, so a text's ids are those of its stretches. Ids of ``most`` to twice as many
+    stretches of at most ``longest`` bytes are remembered, those in use of late.
     """
 
     def __init__(self, path: str, most: int = 3 << 18, longest: int = 64):
@@ -74,13 +77,14 @@ class Words:
         self.tokens = Tokenizer.from_file(path)
         self.most, self.longest = most, longest
         self.known: dict[bytes, bytes] = {}
+        self.aged: dict[bytes, bytes] = {}
         vocabulary = self.tokens.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for w, i in vocabulary.items() if w.endswith(WORD_END)]] = True
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
         found = self.tokens.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in words], add_special_tokens=False)
-        return [np.array(f.ids, "<u4").tobytes() for f in found]
+        return [array("I", f.ids).tobytes() for f in found]
 
     def _spelled(self, words: list[bytes]) -> list[bytes]:
         """Words of letters alone, as one text: each ends with the id of a word's end."""
@@ -103,15 +107,18 @@ class Words:
                 need.update(parted[w])
             else:
                 need.add(w)
-        need = [w for w in need if w not in self.known]
-        letters = [w.decode("utf-8", "surrogatepass").isalpha() for w in need]
-        spelled = [w for w, alone in zip(need, letters, strict=True) if alone]
-        other = [w for w, alone in zip(need, letters, strict=True) if not alone]
-        new = dict(zip(spelled, self._spelled(spelled), strict=True)) if spelled else {}
+        # what was met before the last change of generations, or is met bare already
+        new = {w: ids for w in need if (ids := self.known.get(w) or self.aged.get(w)) is not None}
+        need = [w for w in need if w not in new]
+        alone = [x.isalpha() for x in b" ".join(need).decode("utf-8", "surrogatepass").split(" ")] if need else []
+        spelled, other = [w for w, a in zip(need, alone, strict=True) if a], [w for w, a in zip(need, alone, strict=True) if not a]
+        if spelled:
+            new.update(zip(spelled, self._spelled(spelled), strict=True))
         if other:
             new.update(zip(other, self._encode(other), strict=True))
-        ids = lambda w: new[w] if w in new else self.known[w]
-        return new | {w: ids(bare) + ids(marks) for w, (bare, marks) in parted.items()}
+        for w, (bare, marks) in parted.items():
+            new[w] = new[bare] + new[marks]
+        return new
 
     def _ids(self, pieces: list[bytes]) -> list[bytes]:
         words = [p.split() for p in pieces]
@@ -121,7 +128,7 @@ class Words:
             new = self._learn(missing)
             found = [[new[w] if x is None else x for w, x in zip(part, ids, strict=True)] if None in ids else ids for part, ids in zip(words, found, strict=True)]
             if len(self.known) + len(new) > self.most:
-                self.known.clear()
+                self.aged, self.known = self.known, {}
             self.known.update(new if max(map(len, new)) <= self.longest else {w: x for w, x in new.items() if len(w) <= self.longest})
         return [b"".join(ids) for ids in found]
 

@@ -5,7 +5,7 @@ quantile of the scores."""
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -115,12 +115,13 @@ def fitted(docs: DataFrame, labels: DataFrame, how: Ranking) -> dict | None:
     return {"weights": w, "cut": float(cut), "spread": float(max(spread, 1e-6))}
 
 
-def scored(docs: DataFrame, labels: DataFrame, how: Ranking = Ranking()) -> DataFrame:
+def scored(docs: DataFrame, labels: DataFrame, how: Ranking = Ranking(), keep: Sequence[str] = ()) -> DataFrame:
     """Per document the columns COLUMNS; a raw score at the chosen quantile becomes CUT.
 
     A NULL text is empty; an empty one is scored like any other. If the labels hold only
     one class or none, every score is 0.5. Rows of one id are scored one by one, equal
-    texts alike. Columns other than doc_id and text are ignored.
+    texts alike. Columns other than doc_id and text are ignored, but those in ``keep``
+    come along.
     """
     model = fitted(docs, labels, how)
 
@@ -141,6 +142,8 @@ def scored(docs: DataFrame, labels: DataFrame, how: Ranking = Ranking()) -> Data
                     "score": scores,
                     "predicted": pa.array([int(s >= CUT) for s in scores], pa.int32()),
                 }
+                | {c: batch.column(2 + k) for k, c in enumerate(keep)}
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(judge, COLUMNS)
+    kept = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text"), *keep).mapInArrow(judge, COLUMNS + kept)

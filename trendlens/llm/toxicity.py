@@ -9,7 +9,7 @@ trigram model of the corpus, found by Viterbi, replaces each. The restored text
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -230,12 +230,13 @@ def fitted(docs: DataFrame, labels: DataFrame, how: Channel) -> dict:
     return {"characters": model, "at": known[kept], "weights": margin[kept], "bias": float(bias[1] - bias[0]) + shift}
 
 
-def scored(docs: DataFrame, labels: DataFrame, how: Channel = Channel()) -> DataFrame:
+def scored(docs: DataFrame, labels: DataFrame, how: Channel = Channel(), keep: Sequence[str] = ()) -> DataFrame:
     """Per document the columns COLUMNS.
 
     A NULL text is empty; an empty one is scored like any other. If the labels hold only
     one class or none, every score is 0. Rows of one id are scored one by one, equal
-    texts alike. Columns other than doc_id and text are ignored.
+    texts alike. Columns other than doc_id and text are ignored, but those in ``keep``
+    come along.
     """
     model = fitted(docs, labels, how)
 
@@ -261,6 +262,8 @@ def scored(docs: DataFrame, labels: DataFrame, how: Channel = Channel()) -> Data
                     "score": scores,
                     "predicted": pa.array([int(s >= CUT) for s in scores], pa.int32()),
                 }
+                | {c: batch.column(2 + k) for k, c in enumerate(keep)}
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(judge, COLUMNS)
+    kept = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text"), *keep).mapInArrow(judge, COLUMNS + kept)
