@@ -1,9 +1,12 @@
 """Quality rules whose cutoffs are chosen under a proven limit on false rejections.
 
-Labelled documents are the holdout. For each length stratum, rule and candidate cutoff
-an exact binomial test asks whether the rule rejects at most a given share of the good
-documents; a Bonferroni correction covers all these tests together. Of the cutoffs that
-pass, the strictest is used. Where none passes, the rule rejects nothing there.
+Labelled documents are the holdout, in two folds. The tuning fold proposes a cutoff for
+each rule in each length stratum. Between rejecting nothing and the proposal lie nested
+settings of all rules together; on the other fold an exact binomial test asks, from the
+loosest setting on, whether the rules jointly reject at most a given share of the good
+documents. The setting before the first failure is used. Testing in a fixed order needs
+no correction within a stratum; a Bonferroni correction covers the strata. Where a
+stratum has too few good documents for any proof, nothing is rejected but by the base.
 
 Everything is a DataFrame expression; no Python runs on the executors.
 """
@@ -33,11 +36,13 @@ RULES = {
 
 @dataclass(frozen=True)
 class Risk:
-    """At most ``share`` of a stratum's good documents rejected, with ``confidence``.
+    """At most ``share`` of a stratum's good documents rejected by the rules together, with
+    ``confidence`` for all strata at once.
 
-    The share is divided among the rules, so that it holds for all of them together.
-    ``edges`` are the word counts at which a new stratum begins; ``steps`` cutoffs are
-    tried from 0 to 1.
+    ``edges`` are the word counts at which a new stratum begins; cutoffs are multiples of
+    ``1 / steps``, and as many settings lie between none and the proposed one. One in
+    ``tuning`` labelled ids is for the proposal, which lets each rule reject the part
+    ``spared`` of an even portion of the share.
     """
 
     share: float = 0.02
@@ -46,6 +51,8 @@ class Risk:
     edges: tuple[int, ...] = (100, 400)
     least_words: int = 20
     most_repeats: int = 30
+    tuning: int = 3
+    spared: float = 0.5
 
 
 def measures(docs: DataFrame) -> DataFrame:
@@ -113,27 +120,64 @@ def tail(n: Column, k: Column, p: float) -> Column:
     return F.when(k > n * p, F.lit(1.0)).otherwise(total)
 
 
+def _bin(name: str, risk: Risk) -> Column:
+    """Of a rule's value; a document is rejected where it is above the cutoff's step."""
+    return F.least(F.ceil(F.col(name) * risk.steps), F.lit(risk.steps)).cast("int")
+
+
+def proposed(good: DataFrame, risk: Risk) -> DataFrame:
+    """A row for each stratum with the step that each rule could go down to, ``to_<rule>``: the
+    lowest at which it rejects few enough of these good documents."""
+    cells = F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), _bin(name, risk).alias("bin")) for name in RULES]))
+    counts = good.select("stratum", cells.alias("c")).groupBy("stratum", "c.rule", "c.bin").agg(F.count("*").alias("n"))
+    # at most strata x rules x steps rows from here on
+    steps = F.explode(F.sequence(F.lit(0), F.lit(risk.steps))).alias("step")
+    over = F.sum(F.when(F.col("bin") > F.col("step"), F.col("n")).otherwise(0))
+    per_step = counts.select("*", steps).groupBy("stratum", "rule", "step").agg(F.sum("n").alias("n"), over.alias("k"))
+    fits = F.col("k") <= F.floor(F.col("n") * (risk.share * risk.spared / len(RULES)))
+    return per_step.filter(fits).groupBy("stratum").agg(*[F.min(F.when(F.col("rule") == name, F.col("step"))).alias(f"to_{name}") for name in RULES])
+
+
+def _step(name: str, setting: Column, risk: Risk) -> Column:
+    """A rule's step in a setting: none rejected at 0, the proposal at ``steps``."""
+    return risk.steps - F.floor((risk.steps - F.col(f"to_{name}")) * setting / risk.steps).cast("int")
+
+
 def cutoffs(valued: DataFrame, labels: DataFrame, risk: Risk) -> DataFrame:
-    """(stratum, rule, cutoff): the strictest cutoff proven on the labelled documents.
+    """(stratum, rule, cutoff, n, k): the certified cutoffs, with the good documents they were
+    certified on and those of them they reject. A stratum without proof has no row.
 
     ``valued`` comes from :func:`with_values`; only documents that the base rules keep
     and that are labelled good count. Repeated labels of an id count once.
     """
     good = labels.filter("quality = 1").select(F.col("doc_id").cast("long")).distinct()
-    rows = valued.filter("NOT base_failed").join(good, "doc_id", "left_semi")
-    cells = F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), F.least(F.ceil(F.col(name) * risk.steps), F.lit(risk.steps)).cast("int").alias("bin")) for name in RULES]))
-    counts = rows.select("stratum", cells.alias("c")).groupBy("stratum", "c.rule", "c.bin").agg(F.count("*").alias("n"))
-    # at most strata x rules x steps rows from here on
-    whole = Window.partitionBy("stratum", "rule")
-    grid = counts.select("stratum", "rule", F.explode(F.sequence(F.lit(0), F.lit(risk.steps - 1))).alias("step")).distinct()
-    merged = grid.join(counts, ["stratum", "rule"]).groupBy("stratum", "rule", "step").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("bin") > F.col("step"), F.col("n")).otherwise(0)).alias("k"))
-    tests = (len(risk.edges) + 1) * len(RULES) * risk.steps
-    passed = merged.filter(tail(F.col("n"), F.col("k"), risk.share / len(RULES)) <= (1 - risk.confidence) / tests)
-    return passed.withColumn("least", F.min("step").over(whole)).filter("step = least").select("stratum", "rule", (F.col("step") / risk.steps).alias("cutoff"))
+    rows = valued.filter("NOT base_failed").join(good, "doc_id", "left_semi").select("doc_id", "stratum", *RULES)
+    tuning = F.pmod(F.xxhash64("doc_id"), F.lit(risk.tuning)) == 0
+    targets = proposed(rows.filter(tuning), risk)
+    # settings are nested, so a document is rejected from one on
+    settings = F.sequence(F.lit(1), F.lit(risk.steps))
+
+    def rejects(setting: Column) -> Column:
+        found = F.lit(False)
+        for name in RULES:
+            found = found | F.coalesce(_bin(name, risk) > _step(name, setting, risk), F.lit(False))
+        return found
+
+    held = rows.filter(~tuning).join(F.broadcast(targets), "stratum")
+    firsts = held.withColumn("first", F.coalesce(F.array_min(F.filter(settings, rejects)), F.lit(risk.steps + 1)))
+    counts = firsts.groupBy("stratum", "first").agg(F.count("*").alias("n"))
+    k = F.sum(F.when(F.col("first") <= F.col("setting"), F.col("n")).otherwise(0))
+    per_setting = counts.select("*", F.explode(settings).alias("setting")).groupBy("stratum", "setting").agg(F.sum("n").alias("n"), k.alias("k"))
+    proven = tail(F.col("n"), F.col("k"), risk.share) <= (1 - risk.confidence) / (len(risk.edges) + 1)
+    failed = F.coalesce(F.min(F.when(~proven, F.col("setting"))).over(Window.partitionBy("stratum")), F.lit(risk.steps + 1))
+    last = per_setting.withColumn("failed", failed).filter(F.col("setting") == F.col("failed") - 1)
+    cells = F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), (_step(name, F.col("setting"), risk) / risk.steps).alias("cutoff")) for name in RULES]))
+    return last.join(F.broadcast(targets), "stratum").select("stratum", cells.alias("c"), "n", "k").select("stratum", "c.rule", "c.cutoff", "n", "k")
 
 
 def judged(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
-    """Per document: doc_id, the MEASURES, base_failed, kept.
+    """Per document: doc_id, the MEASURES, base_failed, kept, rejected_by (the rules that reject
+    it, "base" first, by commas; empty if it is kept).
 
     A NULL or empty text has no words and fails. Rows of one id are judged one by one;
     rows without id too, but they carry no label. Other columns are ignored.
@@ -142,8 +186,6 @@ def judged(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame
     chosen = cutoffs(valued, labels, risk).groupBy("stratum").agg(*[F.min(F.when(F.col("rule") == name, F.col("cutoff"))).alias(f"cut_{name}") for name in RULES])
     # one row for each stratum: at most len(edges) + 1
     rows = valued.join(F.broadcast(chosen), "stratum", "left")
-    over = [F.coalesce(F.ceil(F.col(name) * risk.steps) > F.round(F.col(f"cut_{name}") * risk.steps), F.lit(False)) for name in RULES]
-    rejected = F.lit(False)
-    for found in over:
-        rejected = rejected | found
-    return rows.select("doc_id", *MEASURES, "base_failed", (~F.col("base_failed") & ~rejected).alias("kept"))
+    over = {name: F.coalesce(_bin(name, risk) > F.round(F.col(f"cut_{name}") * risk.steps), F.lit(False)) for name in RULES}
+    by = F.concat_ws(",", F.when(F.col("base_failed"), "base"), *[F.when(found, name) for name, found in over.items()])
+    return rows.select("doc_id", *MEASURES, "base_failed", (by == "").alias("kept"), by.alias("rejected_by"))
