@@ -279,3 +279,17 @@ def test_whole_words_are_decoded():
         assert restore(disguised) == plain
     assert len(restore("s t u p i d " * 500)) < 4200
     assert toxicity.disguised("looooos3r, no; stup*d") == [(0, 9), (15, 21)]
+
+
+def test_an_id_links_as_each_of_its_texts(spark):
+    """Two texts of one id and one size; copies of either are linked with it, and so with each other."""
+    draw = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in draw.integers(0, 10**6, 100)) for _ in range(6)]
+    rows = []
+    for k in range(3):
+        a, b = texts[2 * k : 2 * k + 2]
+        rows += [(10 * k + 1, a), (10 * k + 1, b), (10 * k + 2, b.rsplit(" ", 1)[0] + " changed"), (10 * k + 3, a.rsplit(" ", 1)[0] + " other"), (10 * k + 4, a)]
+    rows += [(100, "alone " * 3), (101, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.components_of(df, minhash.Linking()).collect()}
+    assert got == {i: i if i >= 100 else i // 10 * 10 + 1 for i, _ in rows}

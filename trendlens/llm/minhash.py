@@ -153,7 +153,8 @@ def roots(links: DataFrame) -> DataFrame:
 
 
 def own_sizes(texts: DataFrame, how: Linking) -> DataFrame:
-    """(doc_id, alone): how many shingles of a text stand in no other; none: no row."""
+    """(doc_id, alone): how many shingles of a text stand in no other; no row where there is
+    none, or where the id has several texts, whose counts would not be told apart."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,7 +164,8 @@ def own_sizes(texts: DataFrame, how: Linking) -> DataFrame:
 
     cuts = texts.select("doc_id", "text").mapInArrow(cut, "doc_id long, value long")
     alone = cuts.groupBy("value").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")).filter("n = 1")
-    return alone.groupBy("doc_id").agg(F.count("*").alias("alone"))
+    single = texts.groupBy("doc_id").agg(F.count("*").alias("texts")).filter("texts = 1")
+    return alone.groupBy("doc_id").agg(F.count("*").alias("alone")).join(single.select("doc_id"), "doc_id")
 
 
 def components_of(docs: DataFrame, how: Linking) -> DataFrame:
@@ -176,18 +178,19 @@ def components_of(docs: DataFrame, how: Linking) -> DataFrame:
     tells: a link needs 185 * shared >= 85 * (both sizes) on either side, at 85 percent.
 
     A NULL or empty text has no shingle and links with nothing. Rows of one id count as
-    one document. A row without id links with nothing, has no component_id and is kept.
+    one document, which links as each of its texts does. A row without id links with nothing, has no component_id and is kept.
     Columns other than doc_id and text are ignored.
     """
     signed = stored(signatures(docs, how), "signed")
     full = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     firsts = full.groupBy("set_key").agg(F.min("doc_id").alias("class_id"))
-    classes = full.join(firsts, "set_key").filter("doc_id = class_id").select("class_id", F.col("n_shingles").alias("n"), "bands")
-    classes = stored(classes.dropDuplicates(["class_id", "n"]), "classes")
+    # an id may have several texts, and so sets: each has bands of its own
+    classes = full.join(firsts, "set_key").filter("doc_id = class_id").select("class_id", F.xxhash64("set_key").alias("set_id"), F.col("n_shingles").alias("n"), "bands")
+    classes = stored(classes.dropDuplicates(["class_id", "set_id"]), "classes")
 
-    rows = classes.select("class_id", "n", F.explode("bands").alias("key"))
+    rows = classes.select("class_id", "set_id", "n", F.explode("bands").alias("key"))
     heads = rows.groupBy("key").agg(F.min(F.struct("class_id", "n")).alias("head"), F.count("*").alias("size")).filter("size > 1")
-    rows = stored(rows.join(heads, "key").select("key", "class_id", "n", "size", F.col("head.class_id").alias("head"), F.col("head.n").alias("head_n")), "buckets")
+    rows = stored(rows.join(heads, "key").select("key", "class_id", "set_id", "n", "size", F.col("head.class_id").alias("head"), F.col("head.n").alias("head_n")), "buckets")
     wanted = rows.select(F.col("class_id").alias("doc_id")).distinct()
     texts = stored(docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id"), "texts")
 
@@ -196,7 +199,7 @@ def components_of(docs: DataFrame, how: Linking) -> DataFrame:
 
     tied = roots(links)
     several = rows.filter("size > 2").join(tied, F.col("class_id") == F.col("node"), "left")
-    several = stored(several.select("key", "class_id", "n", "head", F.coalesce("root", "class_id").alias("root")), "buckets")
+    several = stored(several.select("key", "class_id", "set_id", "n", "head", F.coalesce("root", "class_id").alias("root")), "buckets")
     spread = several.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("n").alias("least")).filter("low <> high")
     open_rows = several.join(spread.select("key", "least"), "key")
     ids = open_rows.select(F.col("class_id").alias("doc_id")).distinct()
@@ -206,7 +209,7 @@ def components_of(docs: DataFrame, how: Linking) -> DataFrame:
         open_rows.join(alone.withColumnRenamed("doc_id", "class_id"), "class_id", "left")
         .withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0)))
         .filter(enough)
-        .join(classes.select("class_id", "bands"), "class_id")
+        .join(classes.select("class_id", "set_id", "bands"), ["class_id", "set_id"])
         .select("key", "class_id", "n", "head", "root", "shared", "bands")
     )
     open_rows = stored(open_rows, "buckets")

@@ -69,7 +69,7 @@ class Words:
     stretches of at most ``longest`` bytes are remembered, those in use of late.
     """
 
-    def __init__(self, path: str, most: int = 3 << 18, longest: int = 64):
+    def __init__(self, path: str, most: int = 1 << 18, longest: int = 64):
         # a thread pool in every worker would take more cores than Spark gave it
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
