@@ -152,6 +152,15 @@ def roots(links: DataFrame) -> DataFrame:
         edges = stored(tied.select("e.u", "e.v").filter("u <> v").distinct(), "links")
 
 
+def parted(pairs: DataFrame, tied: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends are not in one component."""
+    for end in ("a", "b"):
+        root = tied.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
+        pairs = pairs.join(root, end, "left")
+    apart = F.coalesce("a_root", "a") != F.coalesce("b_root", "b")
+    return pairs.filter(apart).select("a", "b")
+
+
 def own_sizes(texts: DataFrame, how: Linking) -> DataFrame:
     """(doc_id, alone): how many shingles of a text stand in no other; no row where there is
     none, or where the id has several texts, whose counts would not be told apart."""
@@ -171,8 +180,9 @@ def own_sizes(texts: DataFrame, how: Linking) -> DataFrame:
 def components_of(docs: DataFrame, how: Linking) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
-    Equal sets form one class, which its smallest id stands for. First, the members of a
-    bucket are compared with its smallest. Then each bucket that still holds several
+    Equal sets form one class, which its smallest id stands for. First, each member is
+    compared with the smallest of all its buckets' smallest, then with those of them that
+    are not in its component yet. Then each bucket that still holds several
     components compares members of different ones; a member goes on only if the shingles
     it shares with any other document could suffice for a link, which an exact bound
     tells: a link needs 185 * shared >= 85 * (both sizes) on either side, at 85 percent.
@@ -194,8 +204,12 @@ def components_of(docs: DataFrame, how: Linking) -> DataFrame:
     wanted = rows.select(F.col("class_id").alias("doc_id")).distinct()
     texts = stored(docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id"), "texts")
 
-    first = rows.filter((F.col("class_id") != F.col("head")) & fits("n", "head_n", how)).select(F.col("class_id").alias("a"), F.col("head").alias("b")).distinct()
-    links = stored(confirmed(first, texts, how), "links")
+    first = stored(rows.filter((F.col("class_id") != F.col("head")) & fits("n", "head_n", how)).select(F.col("class_id").alias("a"), F.col("head").alias("b")).distinct(), "pairs")
+    # the smallest head of all its buckets ties most members of a large group, so few of
+    # their other pairs still lie between two components
+    nearest = first.groupBy("a").agg(F.min("b").alias("b"))
+    links = stored(confirmed(nearest, texts, how), "links")
+    links = stored(links.union(confirmed(parted(first.join(nearest, ["a", "b"], "left_anti"), roots(links)), texts, how)), "links")
 
     tied = roots(links)
     several = rows.filter("size > 2").join(tied, F.col("class_id") == F.col("node"), "left")
