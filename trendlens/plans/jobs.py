@@ -75,7 +75,6 @@ def reports(obs: DataFrame, tie: Sequence[str] = ("trending_date",)) -> dict[str
     return {
         "date_range": category.date_range(rows),
         "profile": quality.profile(rows),
-        "validity": quality.validity_counts(rows),
         "categories": category.categories(rows),
         "category_shares": category.shares(rows),
         "total_views": category.total_views(entity),
@@ -90,7 +89,7 @@ def reports(obs: DataFrame, tie: Sequence[str] = ("trending_date",)) -> dict[str
         "publish_days": timing.per_weekday(rows, "publishedAt", "publish_day"),
         "peak_day": timing.weekday_extremes(timing.per_weekday(rows, "publishedAt", "publish_day"), "publish_day"),
         "busiest_cell": timing.busiest_cell(rows),
-        "top10_views": topn.top_n(category.with_category_name(entity), "view_count_num", 10, ("title", "category_name", "channelTitle", "view_count_num")),
+        "top10_views": topn.top_n(enrich.with_category_name(entity), "view_count_num", 10, ("title", "category_name", "channelTitle", "view_count_num")),
         "trending_days": timing.per_weekday(rows, "trending_date", "trending_day"),
         "time_to_trend": timing.time_to_trend(first),
         "days_distribution": timing.days_distribution(first),
