@@ -172,11 +172,32 @@ def test_ngrams(table, request):
         assert abs(a[4] - b[4]) < 1e-3 * a[1]
 
 
+@pytest.mark.parametrize("size, times", [(1, 100_000), (50_000, 1), (10**9, 1)])
+def test_ngrams_do_not_depend_on_slabs(spark, size, times):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("doc_id < 60").repartition(2, "doc_id")
+    want = {r.doc_id: r for r in ngrams.scored(table, ngrams.Model(slab_chars=200_000)).collect()}
+    got = ngrams.scored(table, ngrams.Model(slab_chars=size, shard_slabs=times)).collect()
+    assert len(got) == len(want)
+    for r in got:
+        w = want[r.doc_id]
+        assert r[:5] == w[:5] and math.isclose(r.score, w.score, rel_tol=1e-9)
+
+
 def test_trie_and_monotone_sequences():
     random = np.random.default_rng(2)
     for n, bound in ((0, 5), (1, 1), (500, 40), (300, 1 << 40)):
         values = np.sort(random.integers(0, bound, n)).astype(np.uint64)
         assert ngrams.EliasFano(values, bound).values().tolist() == values.tolist()
+    for n, bound in ((1, 1), (500, 40), (3000, 1 << 20), (300, 1 << 40)):
+        values = np.sort(random.integers(0, bound, n)).astype(np.uint64)
+        levels = ngrams.EliasFano(values, bound)
+        assert levels.get(np.arange(n)).tolist() == values.tolist()
+        asks = np.concatenate([values, random.integers(0, bound, 200).astype(np.uint64), np.uint64([0, bound - 1])])
+        at = levels.find(asks)
+        assert [x in set(values.tolist()) for x in asks.tolist()] == (at >= 0).tolist()
+        assert (values[at[at >= 0]] == asks[at >= 0]).all()
+        # only within the stretch asked for
+        assert ((levels.find(asks, n // 2, np.full(len(asks), n)) >= n // 2) == (np.searchsorted(values[n // 2 :], asks, "right") > np.searchsorted(values[n // 2 :], asks))).all()
     contexts = np.repeat(np.sort(random.integers(0, 2**63, 90, dtype=np.uint64)), 5)
     following = np.concatenate([np.sort(random.choice(2**32, 5, replace=False)) for _ in range(90)]).astype(np.uint32)
     logs = -3 * random.random(450)

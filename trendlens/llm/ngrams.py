@@ -115,8 +115,11 @@ class EliasFano:
         """Index of each value within [first, end), or -1. No value is above the bound."""
         low = np.uint64(8 * self.bytes)
         high = (values >> low).astype(np.int64)
-        lo = np.where(high > 0, self.select(np.maximum(high - 1, 0), False) - high + 1, 0)
-        hi = self.select(high, False) - high
+        # neighbours with equal high bits share their stretch
+        runs = np.flatnonzero(np.append(True, high[1:] != high[:-1]))[: len(high)]
+        each, times = high[runs], np.diff(np.append(runs, len(high)))
+        lo = np.repeat(np.where(each > 0, self.select(np.maximum(each - 1, 0), False) - each + 1, 0), times)
+        hi = np.repeat(self.select(each, False) - each, times)
         lo = np.maximum(lo, first)
         stop = hi = hi if end is None else np.minimum(hi, end)
         hi = np.maximum(hi, lo)
