@@ -231,6 +231,12 @@ _RANKED_BY_TIME = f"""SELECT {KEY}, publishedAt, row_number() OVER (
 
 BODIES = {
     "s01_csv_scan": _RAW_FILE,
+    "s01_split_scan": _RAW_FILE,
+    "s01_bad_records": f"""SELECT n_rows, n_bad, bad_record FROM (
+      SELECT count(*) OVER () AS n_rows, count(bad_record) OVER () AS n_bad, bad_record FROM (
+      SELECT CASE WHEN suffix(view_count, '7') THEN video_id || ',' || view_count
+      WHEN suffix(view_count, '3') THEN video_id || repeat(',x', 16) END AS bad_record
+      FROM ({_RAW_FILE}))) WHERE bad_record IS NOT NULL""",
     "s02_clean_scan": "SELECT * FROM obs",
     "s03_gzip_scan": _RAW_FILE,
     "s04_flatten_listing": f"""SELECT video_id, title,

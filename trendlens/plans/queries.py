@@ -23,7 +23,7 @@ from trendlens.plans import frames, jobs
 from trendlens.plans.frames import ROW_KEY, rounded
 from trendlens.schema import FEATURES, ISO_FORMAT, LABEL
 from trendlens.session import scratch_path
-from trendlens.sources import files, messages, star
+from trendlens.sources import files, messages, records, star
 from trendlens.sources.listing import flatten_listing
 from trendlens.streaming import scoring, serving, sinks, versions
 
@@ -62,6 +62,32 @@ def s01(spark, d):
     return _written_csv(spark, d)
 
 
+@query("s01_split_scan")
+def s01_split(spark, d):
+    path = scratch_path(spark, "raw-csv")
+    frames.raw_file_rows(spark, d).write.csv(path, header=True, escape='"')
+    good, _ = records.good_and_bad(records.read_records(spark, path))
+    return good
+
+
+@query("s01_bad_records")
+def s01_bad(spark, d):
+    """Every broken record of a file, with the counts of all records and of broken ones."""
+    rows = frames.raw_file_rows(spark, d)
+    record = (
+        F.when(F.col("view_count").endswith("7"), F.concat_ws(",", "video_id", "view_count"))
+        .when(F.col("view_count").endswith("3"), F.concat("video_id", F.repeat(F.lit(",x"), 16)))
+        .otherwise(F.to_csv(F.struct(*rows.columns), {"escape": '"'}))
+    )
+    path = scratch_path(spark, "broken-csv")
+    # one column named like the header and never quoted: the lines as they are
+    lines = rows.select(record.alias(",".join(rows.columns)))
+    lines.write.csv(path, header=True, sep="\u0001", quote="", escape="\u0002")
+    read = records.read_records(spark, path)
+    counts = read.agg(F.count("*").alias("n_rows"), F.count(records.BAD).alias("n_bad"))
+    return records.good_and_bad(read)[1].join(F.broadcast(counts))  # one row
+
+
 @query("s02_clean_scan")
 def s02(spark, d):
     path = scratch_path(spark, "clean")

@@ -104,6 +104,11 @@ RAW_SCHEMA = T.StructType(
     )
 )
 
+# The layout of older raw files has one column more; cleaning drops it.
+OLD_RAW_SCHEMA = T.StructType(
+    RAW_SCHEMA.fields[:-1] + _strings("video_error_or_removed") + RAW_SCHEMA.fields[-1:]
+)
+
 # A stream message is one raw observation plus the time it was published. All
 # fields are text here too: an int field would turn "10" into NULL.
 MESSAGE_SCHEMA = T.StructType(RAW_SCHEMA.fields + _strings("kafka_timestamp"))
