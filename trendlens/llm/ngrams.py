@@ -58,8 +58,8 @@ class Model:
     mixture: float = 0.5
     parts: int = 5
     held: int = 1
-    slab_chars: int = 16_000_000
-    shard_slabs: int = 2
+    slab_chars: int = 8_000_000
+    shard_slabs: int = 3
 
 
 class EliasFano:
