@@ -196,7 +196,7 @@ def growth_pipeline(
 def train(
     rows: DataFrame, keys: Sequence[str], ts: str = "publishedAt", **settings
 ) -> tuple[PipelineModel, DataFrame]:
-    """Fits on the first 80 % of :func:`training_rows`, and scores the rest.
+    """Fits on the first 80 % of :func:`training_rows`, and scores the rest, keys beside them.
 
     Finding the cut and growing trees read the rows many times, so the few numeric
     columns are kept in memory or on disk meanwhile.
@@ -209,7 +209,7 @@ def train(
         fitted = growth_pipeline(**settings).fit(
             drop_incomplete(early.select(*columns), columns)
         )
-        return fitted, fitted.transform(drop_incomplete(late.select(*columns), columns))
+        return fitted, fitted.transform(drop_incomplete(late.select(*columns, *keys), columns))
     finally:
         needed.unpersist()
 

@@ -562,6 +562,14 @@ BODIES = {
       CASE WHEN rk <= floor(n * 0.8) THEN 'train' ELSE 'valid' END AS part
       FROM ({_RANKED_BY_TIME})""",
     "m05_standardise": _SCALER,
+    "m06_held_out": f"""SELECT {KEY}, round(growth_potential, 6) AS growth_potential,
+      true AS bounded FROM (SELECT *, count(*) OVER () AS n, row_number() OVER (
+        ORDER BY publishedAt NULLS FIRST, md5(concat_ws('|', {KEY}))) AS rk
+        FROM labelled WHERE md5(concat_ws('|', {KEY})) < '26666666')
+      WHERE rk > floor(n * 0.8) AND publishedAt IS NOT NULL AND categoryId IS NOT NULL""",
+    "m09_scored_rows": f"""SELECT {KEY}, view_count, true AS bounded, categoryId IS NOT NULL
+      AND publishedAt IS NOT NULL AND view_count IS NOT NULL AND likes IS NOT NULL
+      AND comment_count IS NOT NULL AS predicted FROM featured""",
     "m07_m08_metrics": """SELECT round(rmse, 6) AS rmse, round(mae, 6) AS mae, round(r2, 6) AS r2,
       round(mape, 6) AS mape, CASE WHEN mape < 20 THEN 'EXCELLENT' WHEN mape < 35 THEN 'GOOD'
         WHEN mape < 50 THEN 'ACCEPTABLE' ELSE 'NEEDS IMPROVEMENT' END AS verdict

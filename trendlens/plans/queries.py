@@ -876,6 +876,14 @@ def m06(spark, d):
     return frames.model(spark, d)[1].select(LABEL, "prediction")
 
 
+@query("m06_held_out")
+def m06_held_out(spark, d):
+    """Which rows the model was not trained on, their labels, and that each has a prediction."""
+    growth = F.col("prediction")
+    rows = frames.model(spark, d)[1].withColumn("bounded", growth.between(0, 100) & ~F.isnan(growth))
+    return rounded(rows.select(*ROW_KEY, LABEL, "bounded"), LABEL)
+
+
 def _with_guess(df: DataFrame) -> DataFrame:
     return df.withColumn("prediction", F.col("view_scale") * 1.25)
 
@@ -900,6 +908,15 @@ def m09(spark, d):
     return scored.select(*ROW_KEY, "view_count", "predicted_views")
 
 
+@query("m09_scored_rows")
+def m09_scored_rows(spark, d):
+    """Which rows get predicted views, and that all of them are finite and not negative."""
+    views = F.col("predicted_views")
+    return m09(spark, d).select(
+        *ROW_KEY, "view_count", (views > 0).alias("predicted"), views.between(0, 1e100).alias("bounded")
+    )
+
+
 over(
     frames.model_rows,
     "m10_back_transform",
