@@ -7,6 +7,7 @@ import pytest
 
 from tests.conftest import plan_of
 from trendlens.operators import clean
+from trendlens.plans import jobs
 from trendlens.schema import OLD_RAW_SCHEMA, RAW_SCHEMA
 from trendlens.sources.files import read_observations
 from trendlens.sources.records import BAD, good_and_bad, read_records, record_texts
@@ -91,3 +92,13 @@ def test_layout_with_seventeen_columns(spark, tmp_path):
     ):
         cleaned = clean.clean(df)
         assert cleaned.count() == 1 and "video_error_or_removed" not in cleaned.columns
+
+
+def test_cleaning_stores_broken_records(spark, tmp_path):
+    row = dict.fromkeys(NAMES, "1") | {"video_id": "v", "trending_date": "2024-02-03T04:05:06Z"}
+    good = ",".join(row.values())
+    (tmp_path / "raw.csv").write_text("\n".join([",".join(NAMES), good, good + ",more", "v,w"]) + "\n")
+    paths = [str(tmp_path / n) for n in ("raw.csv", "clean", "tags", "bad")]
+    jobs.run_cleaning(spark, *paths)
+    assert spark.read.parquet(paths[1]).count() == spark.read.parquet(paths[2]).count() == 1
+    assert sorted(r[BAD] for r in spark.read.parquet(paths[3]).collect()) == sorted([good + ",more", "v,w"])

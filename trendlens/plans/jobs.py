@@ -24,14 +24,26 @@ from trendlens.operators import (
 )
 from trendlens.sources.files import read_clean, read_observations
 from trendlens.sources.listing import flatten_listing
+from trendlens.sources.records import good_and_bad, read_records
 from trendlens.streaming import scoring, sinks
 
 KEYS = ("video_id", "trending_date")
 
 
-def run_cleaning(spark: SparkSession, raw_path, clean_path: str, tags_path: str) -> None:
-    """Raw CSV to the clean table, by snapshot month, and its copy with tag arrays."""
-    rows = clean.clean(read_observations(spark, raw_path))
+def run_cleaning(
+    spark: SparkSession, raw_path, clean_path: str, tags_path: str, bad_path: str | None = None
+) -> None:
+    """Raw CSV to the clean table, by snapshot month, and its copy with tag arrays.
+
+    With ``bad_path``, records with more or fewer fields than the layout do not enter
+    the table: their texts are stored there.
+    """
+    if bad_path is None:
+        raw = read_observations(spark, raw_path)
+    else:
+        raw, bad = good_and_bad(read_records(spark, raw_path))
+        bad.write.mode("overwrite").parquet(bad_path)
+    rows = clean.clean(raw)
     month = F.date_format("trending_date", "yyyy-MM")
     sinks.write_clean(rows.withColumn("snapshot_month", month), clean_path, ["snapshot_month"])
     sinks.write_clean(clean.with_tag_list(read_clean(spark, clean_path)), tags_path)
