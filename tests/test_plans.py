@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
 from trendlens.operators import category, clean, correlation, dedup, model, timing, topn
-from trendlens.plans import frames, jobs
+from trendlens.plans import frames, jobs, queries
 from trendlens.plans.queries import QUERIES
 from trendlens.sources import star
 
@@ -138,3 +138,13 @@ def test_jobs_end_to_end(spark, small, tmp_path):
     job.awaitTermination()
     stored = spark.read.parquet(str(tmp_path / "out" / sinks.REALTIME))
     assert stored.count() == frames.raw(spark, small).count()
+
+
+def test_history_of_one_row_a_key_takes_new_rows(spark, monkeypatch):
+    schema = "video_id string, trending_date string, view_count long, l_orderkey long, l_linenumber int, l_suppkey long"
+    old = [("a", "1", 1, 1, 1, 1), ("a", "1", 2, 2, 1, 1), (None, "1", 3, 3, 1, 1), ("b", None, 4, 4, 1, 1)]
+    new = [("a", "1", 0, 5, 1, 1), (None, "1", 9, 6, 1, 1), (None, "1", 8, 7, 1, 1), ("c", "2", 5, 8, 1, 1)]
+    frames_of = tuple(spark.createDataFrame(rows, schema) for rows in (old, new))
+    monkeypatch.setattr(queries, "_history", lambda spark, d: frames_of)
+    got = QUERIES["u02_upsert_unique_history"](spark, "").select("l_orderkey").collect()
+    assert sorted(r[0] for r in got) == [4, 5, 6, 8]
