@@ -117,3 +117,10 @@ def test_train_save_load_score(spark, small, tmp_path):
 
 def test_every_feature_is_produced(spark, small):
     assert set(FEATURES) <= set(model.with_features(frames.observations(spark, small)).columns)
+
+
+def test_training_has_tasks_by_size_not_by_earlier_partitions(spark, small):
+    rows = frames.model_rows(spark, small).repartition(64, "video_id")
+    fitted, held_out = model.train(rows, frames.ROW_KEY, iterations=1, depth=2)
+    assert held_out.rdd.getNumPartitions() <= 16
+    assert len(fitted.stages[-1].trees) == 1
