@@ -142,3 +142,18 @@ def test_new_checkpoint_keeps_stored_batches(spark, fitted, tmp_path):
     assert {(r["run_id"], r["batch_id"]) for r in top} == {(top[0]["run_id"], 0)}
     runs = dict(stored.select("video_id", "run_id").collect())
     assert top[0]["run_id"] == runs["v100"] != runs["v0"]
+
+
+def test_published_files_are_small_and_all_read(spark, tmp_path):
+    df = spark.range(1000).selectExpr("concat('v', id) AS video_id", "repeat('title ', 20) AS title").coalesce(1)
+    sinks.publish_files(df, str(tmp_path / "out"), most=300)
+    files = list((tmp_path / "out").glob("part-*"))
+    assert len(files) == 4 and sum(f.stat().st_size for f in files) < 50_000
+    assert messages.decode(spark.read.text(str(tmp_path / "out"))).select("video_id").distinct().count() == 1000
+
+
+def test_messages_are_dealt_by_their_number(spark, small, monkeypatch):
+    rows = spark.read.parquet(f"{small}/lineitem.parquet").count()
+    assert frames.message_files(spark, small, 4) == 4
+    monkeypatch.setattr(sinks, "MESSAGES_PER_FILE", rows // 10)
+    assert frames.message_files(spark, small, 4) >= 10
