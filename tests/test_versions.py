@@ -221,3 +221,12 @@ def test_empty_batch(spark, small, tmp_path):
     assert scoring.process_batch(empty, 0, frames.known_model(), root, now=DAY)
     assert versions.frame(spark, root, sinks.REALTIME).count() == 0
     assert serving.read_observations(spark, root).count() == 0
+
+
+def test_tables_of_a_batch_are_made_from_its_rows_as_written(spark, tmp_path):
+    root = str(tmp_path / "out")
+    rows = spark.range(50).select("id", F.rand().alias("x"))  # other values each time it is computed
+    outputs = {sinks.REALTIME: rows, sinks.TOTALS: lambda stored: stored.agg(F.sum("x").alias("total"))}
+    assert sinks.commit_batch(spark, outputs, root, "run", 0, DAY)
+    stored = versions.frame(spark, root, sinks.REALTIME).agg(F.sum("x")).first()[0]
+    assert versions.frame(spark, root, sinks.TOTALS).first()["total"] == pytest.approx(stored)
