@@ -102,3 +102,15 @@ def test_cleaning_stores_broken_records(spark, tmp_path):
     jobs.run_cleaning(spark, *paths)
     assert spark.read.parquet(paths[1]).count() == spark.read.parquet(paths[2]).count() == 1
     assert sorted(r[BAD] for r in spark.read.parquet(paths[3]).collect()) == sorted([good + ",more", "v,w"])
+
+
+def test_a_record_is_walked_once_in_each_role(spark, tmp_path, small_splits):
+    """Lines without quotes go on as whole batches; where splits start is read, not counted again."""
+    row = ",".join(f"c{k}" for k in range(16))
+    lines = [",".join(NAMES), *[row] * 300, '"two\nlines"' + row[2:], *[row] * 300]
+    (tmp_path / "raw.csv").write_text("\n".join(lines) + "\n")
+    texts = record_texts(spark, str(tmp_path / "raw.csv"), NAMES)
+    plan = plan_of(texts)
+    assert plan.count("Scan text") == 2 and plan.count("split-starts") == 2
+    got = sorted(r[0] for r in texts.collect())
+    assert got == sorted([row] * 600 + ['"two\nlines"' + row[2:]])

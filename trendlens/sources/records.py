@@ -10,15 +10,18 @@ import csv
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendlens.schema import RAW_SCHEMA
+from trendlens.session import scratch_path
 
 BAD = "bad_record"
 MOST_BROADCAST = 500_000  # splits, of about 100 bytes each
 PIECES = "file string, block long, part long, head boolean, whole boolean, text string"
+PIECE_NAMES = [f.split(" ")[0] for f in PIECES.split(", ")]
 
 
 def _lines(spark: SparkSession, path) -> DataFrame:
@@ -29,7 +32,7 @@ def _lines(spark: SparkSession, path) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
         F.col("value"),
-        (F.length("value") - F.length(F.translate("value", '"', ""))).alias("quotes"),
+        (F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"),
     )
 
 
@@ -41,8 +44,8 @@ def split_starts(lines: DataFrame) -> DataFrame:
     return counted.select("file", "block", inside.alias("inside"))
 
 
-def _pieces(names: list[str]):
-    """Whole records, and the pieces of those that cross a border, in order."""
+def _pieces(names: list[str], wanted: bool):
+    """Whole records, or else the pieces of those that cross a border, in order."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = None
@@ -59,21 +62,41 @@ def _pieces(names: list[str]):
                 found = next(csv.reader([text]), [])
                 if found != names:
                     raise ValueError(f"{at[0]}: header {found}, expected {names}")
-            else:
+            elif whole == wanted:
                 out.append((*at, part, head, whole, text))
             part += 1
 
         def flush() -> pa.RecordBatch:
             types = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.string()]
             columns = zip(*out, strict=True) if out else [[]] * len(types)
-            fields = [f.split(" ")[0] for f in PIECES.split(", ")]
             batch = pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=fields
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=PIECE_NAMES
             )
             out.clear()
             return batch
 
+        def plain(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+            """The batch's lines as records, if it goes on in one split and none has an open quote."""
+            nonlocal part
+            n = batch.num_rows
+            if not n or held or inside or first or at is None:
+                return None
+            for c, value in zip(batch.columns, at, strict=False):
+                if pc.any(pc.not_equal(c, value)).as_py():
+                    return None
+            if not head or pc.any(pc.equal(pc.bit_wise_and(batch.column(4).cast(pa.int64()), 1), 1)).as_py():
+                return None
+            part += n
+            # whose place in the file does not matter any more
+            place = [pa.nulls(n, t) for t in (pa.string(), pa.int64(), pa.int64())]
+            found = pa.RecordBatch.from_arrays([*place, yes := pa.repeat(True, n), yes, batch.column(3)], names=PIECE_NAMES)
+            return found if wanted else found.slice(0, 0)
+
         for batch in batches:
+            done = plain(batch)
+            if done is not None:
+                yield done
+                continue
             columns = (c.to_pylist() for c in batch.columns)
             for file, block, starts_inside, value, quotes in zip(*columns, strict=True):
                 if (file, block) != at:
@@ -103,23 +126,27 @@ def record_texts(spark: SparkSession, path, names: list[str], most: int = MOST_B
     its file one record. A header other than ``names`` is an error.
     """
     lines = _lines(spark, path)
+    # stored, as every read of the records needs it and it takes a pass over all lines
+    at = scratch_path(spark, "split-starts")
     starts = split_starts(lines)
+    starts.write.parquet(at)
+    starts = spark.read.schema(starts.schema).parquet(at)
     if starts.count() <= most:
         lines = lines.join(F.broadcast(starts), ["file", "block"])  # keeps the order of lines
     else:
         lines = lines.join(starts.hint("merge"), ["file", "block"])
         lines = lines.repartition("file", "block").sortWithinPartitions("file", "block", "line")
-    pieces = lines.select("file", "block", "inside", "value", "quotes").mapInArrow(_pieces(names), PIECES)
+    walked = lines.select("file", "block", "inside", "value", "quotes")
+    whole, pieces = (walked.mapInArrow(_pieces(names, wanted), PIECES) for wanted in (True, False))
     # at most two pieces a split; a record is its head and what follows up to the next head
     number = F.sum(F.col("head").cast("int")).over(Window.partitionBy("file").orderBy("block", "part"))
     parts = F.sort_array(F.collect_list(F.struct("block", "part", "text")))
     joined = (
-        pieces.filter(~F.col("whole"))
-        .withColumn("record", number)
+        pieces.withColumn("record", number)
         .groupBy("file", "record")
         .agg(F.array_join(F.transform(parts, lambda p: p["text"]), "\n").alias("text"))
     )
-    texts = pieces.filter("whole").select("text").unionByName(joined.select("text"))
+    texts = whole.select("text").unionByName(joined.select("text"))
     return texts.select(F.regexp_replace("text", "\r$", "").alias("text")).filter("text <> ''")
 
 
