@@ -230,3 +230,17 @@ def test_tables_of_a_batch_are_made_from_its_rows_as_written(spark, tmp_path):
     assert sinks.commit_batch(spark, outputs, root, "run", 0, DAY)
     stored = versions.frame(spark, root, sinks.REALTIME).agg(F.sum("x")).first()[0]
     assert versions.frame(spark, root, sinks.TOTALS).first()["total"] == pytest.approx(stored)
+
+
+def test_rows_of_a_video_lie_side_by_side(spark, tmp_path):
+    new = spark.range(4000).selectExpr(
+        "concat('v', id % 40) AS video_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, id) AS trending_date", "id AS view_count"
+    ).repartition(8)
+    month = F.date_format("trending_date", "yyyy-MM")
+    sinks.merge_history(spark, new.withColumn("snapshot_month", month), str(tmp_path / "h"))
+    stored = sinks.read_history(spark, str(tmp_path / "h"))
+    assert stored.count() == 4000
+    spread = stored.withColumn("file", F.input_file_name()).groupBy("snapshot_month", "video_id").agg(F.count_distinct("file").alias("n"))
+    assert spread.agg(F.max("n")).first()[0] == 1
+    rows = [r[0] for r in stored.select("video_id").collect()]
+    assert sum(a != b for a, b in zip(rows, rows[1:], strict=False)) < 400
