@@ -106,3 +106,17 @@ def test_a_load_runs_twice(spark, tmp_path):
         jobs.run_load(spark, day, "payload", F.col("at"), path)
     assert sorted(tuple(r) for r in sinks.read_history(spark, path).select("video_id", "view_count", "snapshot_month").collect()) == [("v1", 5, "2024-01"), ("v2", 0, "2024-01")]
     assert {r["category_name"]: r["count"] for r in jobs.history_reports(spark, path)["category_counts"].collect()} == {"Music": 1, "Unknown": 1}
+
+
+def test_a_load_reads_its_payloads_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def payload(k):
+        read.add(1)
+        return '{"items": [{"id": "v%d", "snippet": {"publishedAt": "2024-01-01T00:00:00Z"}, "statistics": {"viewCount": "5"}}]}' % k
+
+    payloads = spark.range(20).select(payload("id").alias("payload"))
+    jobs.run_load(spark, payloads, "payload", F.lit("2024-02-03 00:00:00").cast("timestamp_ntz"), str(tmp_path / "h"))
+    assert sinks.read_history(spark, str(tmp_path / "h")).count() == 20
+    assert read.value == 20

@@ -22,6 +22,7 @@ from trendlens.operators import (
     timing,
     topn,
 )
+from trendlens.session import scratch_path
 from trendlens.sources.files import read_clean, read_observations
 from trendlens.sources.listing import flatten_listing
 from trendlens.sources.records import good_and_bad, read_records
@@ -54,11 +55,18 @@ def run_load(spark: SparkSession, payloads: DataFrame, json_col: str, snapshot:
 
     Flattened and cleaned like raw files; a video seen twice at one time is kept once, the
     load's row before a stored one. Running a load again changes nothing but the
-    version.
+    version. The cleaned rows are stored while it runs, so payloads are read once.
     """
     rows = clean.clean(flatten_listing(payloads, json_col, snapshot))
-    month = F.date_format("trending_date", "yyyy-MM")
-    return sinks.merge_history(spark, rows.withColumn("snapshot_month", month), path, KEYS, derived=partials.states())
+    rows = rows.withColumn("snapshot_month", F.date_format("trending_date", "yyyy-MM"))
+    at = scratch_path(spark, "load")
+    try:
+        rows.write.parquet(at)
+        cleaned = spark.read.schema(rows.schema).parquet(at)
+        return sinks.merge_history(spark, cleaned, path, KEYS, derived=partials.states())
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(at)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def history_reports(spark: SparkSession, path: str) -> dict[str, DataFrame]:
