@@ -152,3 +152,18 @@ def test_buffers_do_not_change_windows(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
     some, whole = (sorted(map(tuple, packing.packed(df, packing.Packing(path, size=256, buffer=b)).collect())) for b in (700, 10**6))
     assert some == whole
+
+
+def test_settling_moves_no_history_that_stays_open():
+    random = np.random.default_rng(3)
+    places = np.cumsum(random.integers(1, 9, 4000))
+    fees = random.choice([0, 4, 12], 4000, p=[0.05, 0.15, 0.8])
+    cutter, ends, kept = packing.Cutter(64), [], 0
+    for at in range(0, 4000, 40):
+        cutter.add(places[at : at + 40].tolist(), fees[at : at + 40].tolist())
+        held = cutter.at
+        ends += cutter.settled()
+        kept += cutter.at is held
+        assert len(cutter.at) <= 1000
+    assert kept > 50
+    assert ends + cutter.finish() == packing.cuts(places, fees, 64)

@@ -15,6 +15,7 @@ from collections import deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -99,17 +100,23 @@ class Words:
     def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         """Ids of new stretches. Marks after a letter are tokens of their own, so what is
         before them and they are looked up one by one."""
+        known, aged = self.known.get, self.aged.get
+        # what was met before the last change of generations keeps its ids
+        new = {w: ids for w in words if (ids := aged(w)) is not None} if self.aged else {}
         parted, need = {}, set()
-        for w in words:
+        for w in words.difference(new):
             bare = w.rstrip(MARKS)
             if 0 < len(bare) < len(w) and b"<|" not in w and _plain(bare):
-                parted[w] = bare, w[len(bare) :]
-                need.update(parted[w])
+                parted[w] = parts = bare, w[len(bare) :]
+                for x in parts:
+                    if x not in new and x not in need:  # or is met alone already
+                        if (ids := known(x) or aged(x)) is None:
+                            need.add(x)
+                        else:
+                            new[x] = ids
             else:
                 need.add(w)
-        # what was met before the last change of generations, or is met bare already
-        new = {w: ids for w in need if (ids := self.known.get(w) or self.aged.get(w)) is not None}
-        need = [w for w in need if w not in new]
+        need = list(need)
         alone = [x.isalpha() for x in b" ".join(need).decode("utf-8", "surrogatepass").split(" ")] if need else []
         spelled, other = [w for w, a in zip(need, alone, strict=True) if a], [w for w, a in zip(need, alone, strict=True) if not a]
         if spelled:
@@ -122,15 +129,18 @@ class Words:
 
     def _ids(self, pieces: list[bytes]) -> list[bytes]:
         words = [p.split() for p in pieces]
-        found = [list(map(self.known.get, w)) for w in words]
-        missing = {w for part, ids in zip(words, found, strict=True) if None in ids for w, x in zip(part, ids, strict=True) if x is None}
+        missing = set(chain.from_iterable(words)).difference(self.known)
         if missing:
             new = self._learn(missing)
-            found = [[new[w] if x is None else x for w, x in zip(part, ids, strict=True)] if None in ids else ids for part, ids in zip(words, found, strict=True)]
-            if len(self.known) + len(new) > self.most:
-                self.aged, self.known = self.known, {}
-            self.known.update(new if max(map(len, new)) <= self.longest else {w: x for w, x in new.items() if len(w) <= self.longest})
-        return [b"".join(ids) for ids in found]
+            self.known.update(new)
+        found = [b"".join(map(self.known.__getitem__, w)) for w in words]
+        if missing:
+            for w in new:
+                if len(w) > self.longest:
+                    del self.known[w]
+        if len(self.known) > self.most:
+            self.aged, self.known = self.known, {}
+        return found
 
     def __call__(self, texts: Iterable[str | None], group: int = 1 << 18) -> Iterator[np.ndarray]:
         """Ids of each text in turn; about ``group`` bytes are worked on at once."""
@@ -161,8 +171,10 @@ class Cutter:
 
     def __init__(self, size: int):
         self.size = size
-        self.at, self.cost, self.back = [0], [0], [0]
+        # ``sums`` are costs plus places, in which a window's padding cancels out
+        self.at, self.sums, self.back = [0], [0], [0]
         self.queue = deque([0])
+        self.root = 0  # the latest place whose window's start is settled
         self.last: tuple[int, int] | None = None
 
     def add(self, places: list[int], fees: list[int]) -> None:
@@ -173,28 +185,33 @@ class Cutter:
             places, fees = [self.last[0], *places], [self.last[1], *fees]
         # the last place may be the stream's end, which is charged otherwise
         self.last = places[-1], fees[-1]
-        at, cost, back, queue, size = self.at, self.cost, self.back, self.queue, self.size
-        for place, fee in zip(places[:-1], fees[:-1], strict=True):
-            while place - at[queue[0]] > size:
-                queue.popleft()
-            i = queue[0]
-            c = cost[i] + size - (place - at[i]) + fee
-            while queue and cost[queue[-1]] + at[queue[-1]] > c + place:
+        at, sums, back, queue, size = self.at, self.sums, self.back, self.queue, self.size
+        first = queue[0]
+        last, least = at[first] + size, sums[first] + size  # of windows from the best start on
+        for n, (place, fee) in enumerate(zip(places[:-1], fees[:-1], strict=True), len(at)):
+            if place > last:
+                while place - at[queue[0]] > size:
+                    queue.popleft()
+                first = queue[0]
+                last, least = at[first] + size, sums[first] + size
+            total = least + fee
+            # the best start stays, as its own sum is less than the total
+            while sums[queue[-1]] > total:
                 queue.pop()
-            queue.append(len(at))
+            queue.append(n)
             at.append(place)
-            cost.append(c)
-            back.append(i)
+            sums.append(total)
+            back.append(first)
 
     def _path(self, j: int) -> list[int]:
         ends = []
-        while j:
+        while j != self.root:
             ends.append(self.at[j])
             j = self.back[j]
         return ends[::-1]
 
     def settled(self) -> list[int]:
-        """Ends that every open choice shares; they are forgotten here."""
+        """New ends that every open choice shares."""
         alive = set(self.queue)
         while len(alive) > 1:
             j = max(alive)
@@ -202,9 +219,13 @@ class Cutter:
             alive.add(self.back[j])
         root = alive.pop()
         ends = self._path(root)
-        self.at, self.cost = self.at[root:], self.cost[root:]
-        self.back = [max(b - root, 0) for b in self.back[root:]]
-        self.queue = deque(j - root for j in self.queue)
+        self.root = root
+        # open choices may go back far: what is held is moved only when half of it is settled
+        if 2 * root > len(self.at):
+            self.at, self.sums = self.at[root:], self.sums[root:]
+            self.back = [max(b - root, 0) for b in self.back[root:]]
+            self.queue = deque(j - root for j in self.queue)
+            self.root = 0
         return ends
 
     def finish(self) -> list[int]:
@@ -213,7 +234,7 @@ class Cutter:
         if not self.last:
             return []
         place = self.last[0]
-        i = min((k for k in self.queue if place - self.at[k] <= self.size), key=self.cost.__getitem__)
+        i = min((k for k in self.queue if place - self.at[k] <= self.size), key=lambda k: self.sums[k] - self.at[k])
         return [*self._path(i), place]
 
 
