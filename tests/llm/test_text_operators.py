@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -314,3 +315,16 @@ def test_an_id_links_as_each_of_its_texts(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in minhash.components_of(df, minhash.Linking()).collect()}
     assert got == {i: i if i >= 100 else i // 10 * 10 + 1 for i, _ in rows}
+
+
+@pytest.mark.parametrize("operator, column, most", [(quality, "quality", 45), (toxicity, "toxic", 55)])
+def test_training_keeps_little_in_the_driver(spark, operator, column, most):
+    docs = spark.range(2400).selectExpr("id AS doc_id", "concat('word', id % 7, ' and ', id % 11, '. more text') AS text")
+    labels = docs.selectExpr("doc_id", f"CAST(doc_id % 2 AS INT) AS {column}")
+    how = quality.Ranking() if operator is quality else toxicity.Channel()
+    tracemalloc.start()
+    try:
+        assert operator.fitted(docs, labels, how)
+        assert tracemalloc.get_traced_memory()[1] < most << 20
+    finally:
+        tracemalloc.stop()

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,6 +82,13 @@ def features(text: str | None) -> np.ndarray:
     return out
 
 
+def _matrix(cells: pa.ChunkedArray) -> np.ndarray:
+    out = np.empty((len(cells), SIZE), "<f2")
+    for k, cell in enumerate(cells):
+        out[k] = np.frombuffer(cell.as_buffer(), "<f2")
+    return out
+
+
 def fitted(docs: DataFrame, labels: DataFrame, how: Ranking) -> dict | None:
     """Weights and the raw score at the cut; None unless both labels occur."""
     ids = F.broadcast(labelled_sample(labels, "quality", how.parts, how.held, how.per_class))
@@ -91,21 +99,22 @@ def fitted(docs: DataFrame, labels: DataFrame, how: Ranking) -> dict | None:
             for doc_id, label, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 yield pa.RecordBatch.from_pydict({"doc_id": [doc_id], "label": pa.array([label], pa.int32()), "cells": [features(text).astype("<f2").tobytes()]})
 
-    found = rows.mapInArrow(measure, "doc_id long, label int, cells binary").groupBy("doc_id", "label").agg(F.min("cells").alias("cells")).collect()
-    found = sorted(found, key=lambda r: r.doc_id)
-    sides = [np.array([np.frombuffer(r.cells, "<f2") for r in found if r.label == k], np.float32) for k in (0, 1)]
+    found = rows.mapInArrow(measure, "doc_id long, label int, cells binary").groupBy("doc_id", "label").agg(F.min("cells").alias("cells")).toArrow().sort_by("doc_id")
+    # the driver holds the features as they come, half as wide, and widens a batch at a time
+    sides = [_matrix(found.filter(pc.equal(found["label"], k))["cells"]) for k in (0, 1)]
+    del found
     if not len(sides[0]) or not len(sides[1]):
         return None
     random = np.random.default_rng(how.seed)
     w, square = np.zeros(SIZE, np.float32), np.full(SIZE, 1e-6, np.float32)
     for _ in range(how.pairs // how.batch):
-        worse, better = (side[random.integers(0, len(side), how.batch)] for side in sides)
+        worse, better = (side[random.integers(0, len(side), how.batch)].astype(np.float32) for side in sides)
         difference = better - worse
         miss = 1 / (1 + np.exp(np.clip(difference @ w, -50, 50)))
         g = how.decay * w - miss @ difference / how.batch
         square += g * g
         w -= how.rate * g / np.sqrt(square)
-    scores = [side @ w for side in sides]
+    scores = [side.astype(np.float32) @ w for side in sides]
     quantiles = np.unique(np.quantile(np.concatenate(scores), np.linspace(0, 1, 201)))
     right = [(scores[0] < q).mean() + (scores[1] >= q).mean() for q in quantiles]
     # the middle of the best quantiles

@@ -93,10 +93,9 @@ def character_model(docs: DataFrame, how: Channel) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"gram": where, "n": total[where]})
 
     rows = docs.filter(fold("doc_id", how.parts) != how.held).select("text").mapInArrow(count, "gram long, n long")
-    found = rows.groupBy("gram").agg(F.sum("n").alias("n")).collect()
+    found = rows.groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     total = np.zeros(N**3)
-    for r in found:
-        total[r.gram] = r.n
+    total[found["gram"].to_numpy()] = found["n"].to_numpy()
     total = total.reshape(N, N, N)
     pairs = total.sum(axis=0) + 0.5
     pairs = pairs / pairs.sum(axis=1, keepdims=True)
@@ -211,18 +210,22 @@ def fitted(docs: DataFrame, labels: DataFrame, how: Channel) -> dict:
             for doc_id, label, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 yield pa.RecordBatch.from_pydict({"doc_id": [doc_id], "label": pa.array([label], pa.int32()), "cells": [features(restore(text)).astype("<u4").tobytes()]})
 
-    found = rows.mapInArrow(measure, "doc_id long, label int, cells binary").groupBy("doc_id", "label").agg(F.min("cells").alias("cells")).collect()
-    found = sorted(found, key=lambda r: r.doc_id)
-    classes = np.array([r.label for r in found], np.int64)
+    found = rows.mapInArrow(measure, "doc_id long, label int, cells binary").groupBy("doc_id", "label").agg(F.min("cells").alias("cells")).toArrow().sort_by("doc_id")
+    classes = found["label"].to_numpy().astype(np.int64)
     if len(set(classes.tolist())) < 2:
         return {"characters": model, "at": None}
     # buckets of a single document tell nothing about others
-    sets = [np.frombuffer(r.cells, "<u4").astype(np.int64) for r in found]
-    frequency = np.bincount(np.concatenate(sets), minlength=1 << BITS)
+    sets = [np.frombuffer(cell.as_buffer(), "<u4") for cell in found["cells"]]
+    frequency = np.zeros(1 << BITS, np.uint32)
+    for s in sets:
+        frequency[s] += 1  # a document's buckets are distinct
     known = np.flatnonzero(frequency > 1)
-    place = np.full(1 << BITS, -1)
+    place = np.full(1 << BITS, -1, np.int32)
     place[known] = np.arange(len(known))
-    inputs = [(place[s][place[s] >= 0], np.ones(int((place[s] >= 0).sum()))) for s in sets]
+    # all values are ones: rows share them
+    ones = np.ones(max(map(len, sets)))
+    inputs = [(at, ones[: len(at)]) for at in (at[at >= 0] for at in map(place.__getitem__, sets))]
+    del found, sets, frequency, place
     weights, bias = train(inputs, classes, len(known), 2, how.ftrl)
     margin = weights[:, 1] - weights[:, 0]
     kept = margin != 0
