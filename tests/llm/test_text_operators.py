@@ -328,3 +328,26 @@ def test_training_keeps_little_in_the_driver(spark, operator, column, most):
         assert tracemalloc.get_traced_memory()[1] < most << 20
     finally:
         tracemalloc.stop()
+
+
+def test_a_large_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
+    """Copies of one text with few or many changes, of which many are alike by 0.5 to 0.85."""
+    draw = np.random.default_rng(11)
+    base = [f"w{x}" for x in draw.integers(0, 10**6, 150)]
+    rows = []
+    for i in range(400):
+        text = list(base)
+        for at in draw.integers(0, 150, draw.integers(0, 8)):
+            text[at] = ["", "the", f"n{draw.integers(0, 10**6)}"][draw.integers(0, 3)]
+        rows.append((i, " ".join(text)))
+    compared = []
+    confirmed = minhash.confirmed
+
+    def counted(pairs, texts, how):
+        compared.append(pairs.count())
+        return confirmed(pairs, texts, how)
+
+    monkeypatch.setattr(minhash, "confirmed", counted)
+    got = minhash.components_of(spark.createDataFrame(rows, "doc_id long, text string"), minhash.Linking()).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == components(rows)
+    assert sum(compared) < 4 * len(rows)

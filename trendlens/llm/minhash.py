@@ -2,8 +2,9 @@
 
 Each permutation of the shingle hashes gives two signature values, its smallest and its
 largest, so a signature costs half the hash evaluations. Bands of them put documents in
-buckets. A bucket never yields all its pairs: its members are compared with one of them,
-and then only members of different components go on, see :func:`components_of`.
+buckets. A bucket never yields all its pairs: its members are compared with its most
+central one, and then only members of different components that share a rare shingle go
+on, see :func:`components_of`.
 
 Every link is confirmed on the full shingle sets of both texts.
 """
@@ -17,7 +18,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendlens.llm.common import distinct, mix, raw, stored, word_hashes
@@ -161,31 +162,44 @@ def parted(pairs: DataFrame, tied: DataFrame) -> DataFrame:
     return pairs.filter(apart).select("a", "b")
 
 
-def own_sizes(texts: DataFrame, how: Linking) -> DataFrame:
-    """(doc_id, alone): how many shingles of a text stand in no other; no row where there is
-    none, or where the id has several texts, whose counts would not be told apart."""
+def rare_shingles(sets: DataFrame, texts: DataFrame, how: Linking) -> DataFrame:
+    """Shingles by which a set (class_id, set_id, n, least) can meet those it may be linked with:
+    value and left, how many of its shingles are that one or come later, rarest first.
+
+    Two sets have no more in common than either has left at the first shingle that they
+    share, so one with too few left for a link with ``least`` shingles cannot be that first one.
+    """
+    schema = pa.schema([("class_id", pa.int64()), ("set_key", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                values = shingles(text.as_py(), how.shingle).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), doc_id)), pa.array(values)], names=["doc_id", "value"])
+                values = shingles(text.as_py(), how.shingle)
+                key = xxhash.xxh3_128_digest(values.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([doc_id]), pa.array([key]), pa.array([values.view(np.int64)], pa.list_(pa.int64()))], schema=schema)
 
-    cuts = texts.select("doc_id", "text").mapInArrow(cut, "doc_id long, value long")
-    alone = cuts.groupBy("value").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")).filter("n = 1")
-    single = texts.groupBy("doc_id").agg(F.count("*").alias("texts")).filter("texts = 1")
-    return alone.groupBy("doc_id").agg(F.count("*").alias("alone")).join(single.select("doc_id"), "doc_id")
+    ids = sets.select(F.col("class_id").alias("doc_id")).distinct()
+    cuts = texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").distinct().mapInArrow(cut, "class_id long, set_key binary, shingles array<long>")
+    cuts = cuts.withColumn("set_id", F.xxhash64("set_key")).dropDuplicates(["class_id", "set_id"]).join(sets, ["class_id", "set_id"])
+    values = cuts.select("class_id", "set_id", "n", "least", F.explode("shingles").alias("value"))
+    known = values.groupBy("value").agg(F.count("*").alias("sets")).filter("sets > 1")
+    later = Window.partitionBy("class_id", "set_id").orderBy(F.desc("sets"), F.desc("value"))
+    wanted = how.percent * (F.col("n") + F.greatest("least", F.ceil(F.col("n") * how.percent / 100)))
+    # a shingle of no other set comes before all of these
+    ranked = values.join(known, "value").withColumn("left", F.row_number().over(later))
+    return ranked.filter((100 + how.percent) * F.col("left") >= wanted).select("class_id", "set_id", "value", "left")
 
 
 def components_of(docs: DataFrame, how: Linking) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
-    Equal sets form one class, which its smallest id stands for. First, each member is
-    compared with the smallest of all its buckets' smallest, then with those of them that
-    are not in its component yet. Then each bucket that still holds several
-    components compares members of different ones; a member goes on only if the shingles
-    it shares with any other document could suffice for a link, which an exact bound
-    tells: a link needs 185 * shared >= 85 * (both sizes) on either side, at 85 percent.
+    Equal sets form one class, which its smallest id stands for. Each bucket's head is
+    the member that meets the most others in all its buckets. First, each member is
+    compared with the weightiest of its heads, then with those of them that are not in
+    its component yet. Then members of buckets that still hold several components are
+    compared with those of other components whom they meet in a bucket and in a shingle
+    rare enough, see :func:`rare_shingles`: at 85 percent, a link needs 185 * shared >=
+    85 * (both sizes), and no more can be shared than is left from the first shared one on.
 
     A NULL or empty text has no shingle and links with nothing. Rows of one id count as
     one document, which links as each of its texts does. A row without id links with nothing, has no component_id and is kept.
@@ -199,48 +213,44 @@ def components_of(docs: DataFrame, how: Linking) -> DataFrame:
     classes = stored(classes.dropDuplicates(["class_id", "set_id"]), "classes")
 
     rows = classes.select("class_id", "set_id", "n", F.explode("bands").alias("key"))
-    heads = rows.groupBy("key").agg(F.min(F.struct("class_id", "n")).alias("head"), F.count("*").alias("size")).filter("size > 1")
-    rows = stored(rows.join(heads, "key").select("key", "class_id", "set_id", "n", "size", F.col("head.class_id").alias("head"), F.col("head.n").alias("head_n")), "buckets")
+    rows = stored(rows.join(rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "key"), "buckets")
+    # who shares the most bands with others is likest to them all
+    weight = rows.groupBy("class_id").agg(F.sum("size").alias("weight"))
+    heads = rows.join(weight, "class_id").groupBy("key").agg(F.max(F.struct("weight", (-F.col("class_id")).alias("minus_id"), "n")).alias("head"))
+    rows = rows.join(heads, "key").select("key", "class_id", "set_id", "n", "size", (-F.col("head.minus_id")).alias("head"), F.col("head.n").alias("head_n"), F.col("head.weight").alias("head_weight"))
+    rows = stored(rows, "buckets")
     wanted = rows.select(F.col("class_id").alias("doc_id")).distinct()
     texts = stored(docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id"), "texts")
 
-    first = stored(rows.filter((F.col("class_id") != F.col("head")) & fits("n", "head_n", how)).select(F.col("class_id").alias("a"), F.col("head").alias("b")).distinct(), "pairs")
-    # the smallest head of all its buckets ties most members of a large group, so few of
+    first = rows.filter((F.col("class_id") != F.col("head")) & fits("n", "head_n", how))
+    first = stored(first.select(F.col("class_id").alias("a"), F.col("head").alias("b"), F.col("head_weight").alias("weight")).distinct(), "pairs")
+    # the weightiest head of all its buckets ties most members of a large group, so few of
     # their other pairs still lie between two components
-    nearest = first.groupBy("a").agg(F.min("b").alias("b"))
+    nearest = first.groupBy("a").agg(F.max(F.struct("weight", (-F.col("b")).alias("minus_id"))).alias("head")).select("a", (-F.col("head.minus_id")).alias("b"))
     links = stored(confirmed(nearest, texts, how), "links")
-    links = stored(links.union(confirmed(parted(first.join(nearest, ["a", "b"], "left_anti"), roots(links)), texts, how)), "links")
+    others = first.select("a", "b").join(nearest, ["a", "b"], "left_anti")
+    links = stored(links.union(confirmed(parted(others, roots(links)), texts, how)), "links")
 
     tied = roots(links)
     several = rows.filter("size > 2").join(tied, F.col("class_id") == F.col("node"), "left")
-    several = stored(several.select("key", "class_id", "set_id", "n", "head", F.coalesce("root", "class_id").alias("root")), "buckets")
+    several = stored(several.select("key", "class_id", "set_id", "n", F.coalesce("root", "class_id").alias("root")), "buckets")
     spread = several.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("n").alias("least")).filter("low <> high")
-    open_rows = several.join(spread.select("key", "least"), "key")
-    ids = open_rows.select(F.col("class_id").alias("doc_id")).distinct()
-    alone = own_sizes(texts.join(ids, "doc_id", "left_semi"), how)
-    enough = (100 + how.percent) * F.col("shared") >= how.percent * (F.col("n") + F.greatest("least", F.ceil(F.col("n") * how.percent / 100)))
-    open_rows = (
-        open_rows.join(alone.withColumnRenamed("doc_id", "class_id"), "class_id", "left")
-        .withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0)))
-        .filter(enough)
-        .join(classes.select("class_id", "set_id", "bands"), ["class_id", "set_id"])
-        .select("key", "class_id", "n", "head", "root", "shared", "bands")
-    )
-    open_rows = stored(open_rows, "buckets")
-    # each bucket's most frequent component meets only the members of the others
-    main = open_rows.groupBy("key", "root").count().groupBy("key").agg(F.max(F.struct("count", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1")
-    x = open_rows.join(main, "key").filter("root <> main.root").select("key", *[F.col(c).alias(f"x_{c}") for c in ("class_id", "n", "root", "shared", "bands", "head")])
-    y = open_rows.select("key", *[F.col(c).alias(f"y_{c}") for c in ("class_id", "n", "root", "shared", "bands")])
+    open_sets = stored(several.join(spread, "key").groupBy("class_id", "set_id", "n", "root").agg(F.min("least").alias("least")), "open")
+    open_rows = rare_shingles(open_sets.drop("root"), texts, how).join(open_sets, ["class_id", "set_id"]).join(classes.select("class_id", "set_id", "bands"), ["class_id", "set_id"])
+    open_rows = stored(open_rows.select("value", "class_id", "n", "root", "left", "bands"), "rare")
+    # each shingle's most frequent component meets only the members of the others
+    main = open_rows.groupBy("value", "root").count().groupBy("value").agg(F.max(F.struct("count", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1")
+    x = open_rows.join(main, "value").filter("root <> main.root").select("value", *[F.col(c).alias(f"x_{c}") for c in ("class_id", "n", "root", "left", "bands")])
+    y = open_rows.select("value", *[F.col(c).alias(f"y_{c}") for c in ("class_id", "n", "root", "left", "bands")])
     possible = (
         (F.col("x_root") != F.col("y_root"))
-        & (F.col("x_class_id") != F.col("x_head"))
-        & (F.col("y_class_id") != F.col("x_head"))
         & fits("x_n", "y_n", how)
-        & ((100 + how.percent) * F.least("x_shared", "y_shared") >= how.percent * (F.col("x_n") + F.col("y_n")))
-        & (F.col("key") == F.array_min(F.array_intersect("x_bands", "y_bands")))
+        & ((100 + how.percent) * F.least("x_left", "y_left") >= how.percent * (F.col("x_n") + F.col("y_n")))
+        & F.arrays_overlap("x_bands", "y_bands")
     )
-    second = x.join(y, "key").filter(possible).select(F.greatest("x_class_id", "y_class_id").alias("a"), F.least("x_class_id", "y_class_id").alias("b")).distinct()
-    links = stored(links.union(confirmed(second, texts, how)), "links")
+    second = x.join(y, "value").filter(possible).select(F.greatest("x_class_id", "y_class_id").alias("a"), F.least("x_class_id", "y_class_id").alias("b")).distinct()
+    compared = first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    links = stored(links.union(confirmed(second.join(compared, ["a", "b"], "left_anti"), texts, how)), "links")
 
     tied = roots(links)
     member = signed.join(firsts, "set_key", "left").join(tied, F.col("class_id") == F.col("node"), "left")
