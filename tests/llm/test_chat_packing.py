@@ -113,6 +113,18 @@ def test_ids_of_stretches_are_those_of_the_text():
     assert len(words.known) <= 400
 
 
+def test_words_of_plain_letters_skip_the_normaliser():
+    words = packing.Words(public_tokenizers.path("word_bpe_49k.json"))
+    given = []
+    whole = words.tokens
+    words.tokens = type("Tokens", (), {"encode_batch_fast": lambda self, texts, **how: (given.extend(texts), whole.encode_batch_fast(texts, **how))[1]})()
+    plain = "the caf\u00e9 na\u00efve Stra\u00dfe \u00fcber thndhain, \u00f1ame. " + " ".join(a + b for a in packing.LETTERS for b in packing.LETTERS)
+    other = "\u00c9cole cafe\u0301 x\u00f7y \u00df\u00d7 \u03a3\u03b1\u03c2 \u0130I \ufb00 it's 'll don\u00b4t a1 \u00aa\u00ba \u00b5 \u6f22\u5b57 a\u00ad\u00e9"
+    for text in (plain, other):
+        assert [ids.tolist() for ids in words([text])] == [whole.encode(text, add_special_tokens=False).ids]
+    assert not set("the caf\u00e9 na\u00efve stra\u00dfe \u00fcber thndhain \u00f1ame".split()) & set(" ".join(given).split())
+
+
 def test_cuts_over_buffers_are_those_of_the_whole_stream():
     import random
 
