@@ -351,3 +351,18 @@ def test_a_large_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
     got = minhash.components_of(spark.createDataFrame(rows, "doc_id long, text string"), minhash.Linking()).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == components(rows)
     assert sum(compared) < 4 * len(rows)
+
+
+def test_texts_like_no_other_are_not_shuffled(spark, monkeypatch):
+    """Few of them reach the join, whose result is exact whatever the size of the map."""
+    docs = spark.range(5000).selectExpr("int(id * 7 - 100) AS doc_id", "concat('text ', id) AS text")
+    docs = docs.union(spark.createDataFrame([(None, "no id"), (-100, "another text"), (-93, None)], "doc_id int, text string"))
+    ids = spark.range(300).selectExpr("id * 70 - 100 AS doc_id").union(spark.createDataFrame([(-93,), (10**12,)], "doc_id long"))
+    wanted = {r.doc_id for r in ids.collect()}
+    exact = Counter((r.doc_id, r.text) for r in docs.collect() if r.doc_id in wanted)
+    assert sum(exact.values()) == 303
+    assert minhash.marked(docs, ids).count() < 303 + 0.12 * 4700
+    assert Counter(minhash.texts_of(docs, ids).collect()) == exact
+    monkeypatch.setattr(minhash, "MARKS", 64)
+    assert Counter(minhash.texts_of(docs, ids).collect()) == exact
+    assert minhash.texts_of(docs, ids.limit(0)).count() == 0

@@ -25,6 +25,8 @@ from trendlens.llm.common import distinct, mix, raw, stored, word_hashes
 
 #: Shingles hashed against all permutations at once.
 CHUNK = 4096
+#: Most bits of the map that picks texts before they are shuffled; beyond 4 million wanted ids it lets more of the others pass.
+MARKS = 1 << 26
 SIGNATURE = "doc_id long, n_shingles long, set_key binary, bands array<long>"
 
 
@@ -99,6 +101,23 @@ def signatures(docs: DataFrame, how: Linking) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, SIGNATURE)
 
 
+def marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows (doc_id, text) of docs whose doc_id is among the distinct ``ids``, and some
+    6 percent of the others: every task has a map of the hashes of the ids."""
+    size = min(MARKS, max(64, 16 * ids.count()))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(size)).alias("place")
+    word, bit = F.expr("place div 64").alias("word"), F.expr("shiftleft(1L, int(place % 64))")
+    marks = ids.select(place).groupBy(word).agg(F.bit_or(bit).alias("marks"))
+    placed = docs.select(F.col("doc_id").cast("long"), "text").select("doc_id", "text", place).select("*", word)
+    return placed.join(F.broadcast(marks), "word").filter(F.col("marks").bitwiseAND(bit) != 0).select("doc_id", "text")
+
+
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows (doc_id, text) of docs whose doc_id is among the distinct ``ids``. Most texts
+    are like no other; few of these are shuffled."""
+    return marked(docs, ids).join(ids, "doc_id")
+
+
 def fits(a: str, b: str, how: Linking):
     """Whether two set sizes can reach the wanted similarity at all."""
     return 100 * F.least(a, b) >= how.percent * F.greatest(a, b)
@@ -219,8 +238,8 @@ def components_of(docs: DataFrame, how: Linking) -> DataFrame:
     heads = rows.join(weight, "class_id").groupBy("key").agg(F.max(F.struct("weight", (-F.col("class_id")).alias("minus_id"), "n")).alias("head"))
     rows = rows.join(heads, "key").select("key", "class_id", "set_id", "n", "size", (-F.col("head.minus_id")).alias("head"), F.col("head.n").alias("head_n"), F.col("head.weight").alias("head_weight"))
     rows = stored(rows, "buckets")
-    wanted = rows.select(F.col("class_id").alias("doc_id")).distinct()
-    texts = stored(docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id"), "texts")
+    wanted = stored(rows.select(F.col("class_id").alias("doc_id")).distinct(), "wanted")
+    texts = stored(texts_of(docs, wanted), "texts")
 
     first = rows.filter((F.col("class_id") != F.col("head")) & fits("n", "head_n", how))
     first = stored(first.select(F.col("class_id").alias("a"), F.col("head").alias("b"), F.col("head_weight").alias("weight")).distinct(), "pairs")
