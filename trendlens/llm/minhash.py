@@ -166,9 +166,10 @@ def roots(links: DataFrame) -> DataFrame:
         state = found
         sides = edges.union(edges.select("v", "u")).toDF("n", "m")
         least = sides.groupBy("n").agg(F.min("m").alias("least"))
-        large = sides.join(least, "n").filter("m > n").select(F.col("m").alias("u"), F.least("n", "least").alias("v")).distinct()
+        # merged whatever their size: three dozen small broadcasts would add up in the driver
+        large = sides.join(least.hint("merge"), "n").filter("m > n").select(F.col("m").alias("u"), F.least("n", "least").alias("v")).distinct()
         small = large.groupBy("u").agg(F.min("v").alias("least"))
-        tied = large.join(small, "u").select(F.explode(F.array(F.struct("u", F.col("least").alias("v")), F.struct(F.col("v").alias("u"), F.col("least").alias("v")))).alias("e"))
+        tied = large.join(small.hint("merge"), "u").select(F.explode(F.array(F.struct("u", F.col("least").alias("v")), F.struct(F.col("v").alias("u"), F.col("least").alias("v")))).alias("e"))
         edges = stored(tied.select("e.u", "e.v").filter("u <> v").distinct(), "links")
 
 
@@ -176,7 +177,7 @@ def parted(pairs: DataFrame, tied: DataFrame) -> DataFrame:
     """The pairs (a, b) whose ends are not in one component."""
     for end in ("a", "b"):
         root = tied.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
-        pairs = pairs.join(root, end, "left")
+        pairs = pairs.join(root.hint("merge"), end, "left")
     apart = F.coalesce("a_root", "a") != F.coalesce("b_root", "b")
     return pairs.filter(apart).select("a", "b")
 
