@@ -1,12 +1,16 @@
 import json
 import os
+from collections import Counter
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import plan_of
 from trendlens.operators import model
 from trendlens.plans import frames
-from trendlens.sources import messages
+from trendlens.plans.queries import QUERIES
+from trendlens.sources import messages, star
 from trendlens.streaming import scoring, serving, sinks, versions
 
 
@@ -157,3 +161,44 @@ def test_messages_are_dealt_by_their_number(spark, small, monkeypatch):
     assert frames.message_files(spark, small, 4) == 4
     monkeypatch.setattr(sinks, "MESSAGES_PER_FILE", rows // 10)
     assert frames.message_files(spark, small, 4) >= 10
+
+
+@pytest.mark.parametrize("videos", [30, 10**9])  # few, which are broadcast, and many, which are shuffled
+def test_messages_are_not_shuffled_whole(spark, tmp_path, monkeypatch, videos):
+    parts = [(k, f"part {k}", "Brand#1", "STEEL", 1, 1.0) for k in range(1, 31)]
+    day = datetime(1996, 1, 1)
+    # a third of the rows on one video, some twice, some of a video that is not there
+    lines = [(1 + i % 90, 7 if i % 3 == 0 else i % 33, 1, 1 + i % 7, 2.0, 10.0 + i % 90, 0.1, 0.1, "N", "O", day) for i in range(400)]
+    lines += [(500, None, 1, 1, 2.0, 10.0, 0.1, 0.1, "N", "O", day)]
+    for name, rows in (("part", parts), ("lineitem", lines)):
+        spark.createDataFrame(rows, star.SCHEMAS[name]).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    known = [x for x in lines if x[1] in range(1, 31)]
+    count, views = Counter(), Counter()
+    for x in known:
+        category = star.CATEGORY_CYCLE[x[1] % 16]
+        count[category] += 1
+        views[category] += round(x[5] * 100)
+
+    published, publish = [], sinks.publish_files
+    monkeypatch.setattr(sinks, "publish_files", lambda df, path, *most: (published.append((df, path)), publish(df, path, *most)))
+    monkeypatch.setattr(frames, "model", lambda spark, d: (frames.known_model(), None))
+    monkeypatch.setattr(star, "_video_count", lambda spark, d: videos)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = QUERIES["st03_stream_category_stats"](spark, str(tmp_path)).collect()
+        assert {tuple(r) for r in got} == {(c, count[c], views[c]) for c in count}
+        restart = QUERIES["st04_restart"](spark, str(tmp_path)).collect()
+        assert {tuple(r)[:3] for r in restart} == {(c, count[c], views[c]) for c in count}
+        assert len(published) == 3
+        for df, path in published:
+            plan = plan_of(df)
+            assert "Exchange" in plan and "Exchange" not in plan.split("Join")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for path, least, batches in ((published[0][1], 8, 2), (published[1][1], 4, 4)):
+        root = path.removesuffix("/in")
+        files = spark.read.text(path).inputFiles()
+        assert len(files) >= least
+        stored = versions.frame(spark, root, sinks.REALTIME)
+        assert stored.count() == len(known) and stored.select("batch_id").distinct().count() == batches
