@@ -244,3 +244,28 @@ def test_rows_of_a_video_lie_side_by_side(spark, tmp_path):
     assert spread.agg(F.max("n")).first()[0] == 1
     rows = [r[0] for r in stored.select("video_id").collect()]
     assert sum(a != b for a, b in zip(rows, rows[1:], strict=False)) < 400
+
+
+def test_no_commit_of_writers_side_by_side_is_lost(spark, tmp_path):
+    root, errors = str(tmp_path), []
+
+    def writer(name):
+        def count(state):
+            state["notes"][name] = state["notes"].get(name, 0) + 1
+            return state
+
+        try:
+            for _ in range(25):
+                versions.change(spark, root, count, attempts=500)
+        except Exception as error:
+            errors.append(error)
+
+    workers = [threading.Thread(target=writer, args=(name,)) for name in "abcd"]
+    for w in workers:
+        w.start()
+    for w in workers:
+        w.join()
+    assert not errors
+    state = versions.current(spark, root)
+    assert state["version"] == 100 and state["notes"] == dict.fromkeys("abcd", 25)
+    assert len(list((tmp_path / versions.MANIFESTS).iterdir())) == 100  # nothing unfinished is left
